@@ -213,3 +213,51 @@ def variance_distance(a: DataFrame, b: DataFrame, pos: str = "pos", var: str = "
 
 def rms(c: Column) -> Column:
     return F.sqrt(F.avg(c * c))
+
+
+def exact_quantiles(df: DataFrame, value: str, key: str, qs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
+    """Exact linear-interpolation quantiles (``quantile_cont``) per group without buffering a group.
+
+    Rows get a distributed global rank in (group, value, key) order; each group's first rank and
+    size come from a grouped aggregate; only the <= 2 rows per quantile that are needed are kept.
+    Output: (by..., q, value).
+    """
+    by = list(by)
+    vals = df.select(*by, F.col(value).cast("double").alias("_x"), F.col(key).alias("_k")).where(F.col("_x").isNotNull())
+    ranked = global_row_number(vals, [*[F.col(b) for b in by], F.col("_x"), F.col("_k")], "_rn")
+    g = ranked.groupBy(*by).agg(F.min("_rn").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    targets = g.select(
+        *by,
+        "_first",
+        F.explode(F.array(*[F.struct(F.lit(float(q)).alias("q"), ((F.col("_n") - 1) * F.lit(float(q))).alias("h")) for q in qs])).alias("t"),
+    ).select(*by, "_first", "t.q", "t.h")
+    targets = targets.select(
+        *by, "q", (F.col("h") - F.floor("h")).alias("_frac"),
+        (F.col("_first") + F.floor("h")).alias("_lo"), (F.col("_first") + F.ceil("h")).alias("_hi"),
+    )
+    need = targets.select(*by, F.explode(F.array("_lo", "_hi")).alias("_rn")).distinct()
+    picked = ranked.join(need, by + ["_rn"], "left_semi").select(*by, "_rn", "_x")
+    lo = picked.withColumnRenamed("_rn", "_lo").withColumnRenamed("_x", "_xlo")
+    hi = picked.withColumnRenamed("_rn", "_hi").withColumnRenamed("_x", "_xhi")
+    out = targets.join(lo, by + ["_lo"]).join(hi, by + ["_hi"])
+    return out.select(*by, "q", (F.col("_xlo") + (F.col("_xhi") - F.col("_xlo")) * F.col("_frac")).alias("value"))
+
+
+def box_stats_exact(df: DataFrame, key: str, value: str, row_key: str) -> DataFrame:
+    """Box statistics per group from ``exact_quantiles``: q1, median, q3, whiskers at 1.5 IQR."""
+    q = exact_quantiles(df, value, row_key, [0.25, 0.5, 0.75], [key])
+    wide = q.groupBy(key).agg(
+        F.max(F.when(F.col("q") == 0.25, F.col("value"))).alias("q1"),
+        F.max(F.when(F.col("q") == 0.5, F.col("value"))).alias("median"),
+        F.max(F.when(F.col("q") == 0.75, F.col("value"))).alias("q3"),
+    )
+    iqr = F.col("q3") - F.col("q1")
+    fences = wide.select(key, "q1", "median", "q3", (F.col("q1") - 1.5 * iqr).alias("_lo"), (F.col("q3") + 1.5 * iqr).alias("_hi"))
+    x = F.col(value)
+    w = df.select(key, x.alias("_x")).join(fences, key).groupBy(key, "q1", "median", "q3").agg(
+        F.count("_x").alias("n"),
+        F.min(F.when(F.col("_x") >= F.col("_lo"), F.col("_x"))).alias("whisker_low"),
+        F.max(F.when(F.col("_x") <= F.col("_hi"), F.col("_x"))).alias("whisker_high"),
+        F.count(F.when((F.col("_x") < F.col("_lo")) | (F.col("_x") > F.col("_hi")), 1)).alias("n_outliers"),
+    )
+    return w

@@ -65,7 +65,7 @@ mu AS (SELECT event_type, pos, avg(v) AS m FROM eseries GROUP BY 1, 2),
 pairs AS (
   SELECT a.event_type, a.pos AS i, b.pos AS j, sum(a.v * b.v) AS o, count(a.v * b.v) AS n
   FROM eseries a JOIN eseries b ON a.user_id = b.user_id AND a.event_type = b.event_type GROUP BY 1, 2, 3)
-SELECT p.event_type, p.i, p.j, p.n AS "NO", {sig_sql('p.o / p.n - mi.m * mj.m', 8)} AS cov
+SELECT p.event_type, p.i, p.j, p.n AS "NO", {sig_sql('p.o / p.n - mi.m * mj.m', 7)} AS cov
 FROM pairs p JOIN mu mi ON mi.event_type = p.event_type AND mi.pos = p.i
              JOIN mu mj ON mj.event_type = p.event_type AND mj.pos = p.j
 WHERE p.n > 0
@@ -74,20 +74,20 @@ WHERE p.n > 0
 def covariance_by_group(spark, sf):
     """M1: all groups (event types) in one job -- one scan, one shuffle, no driver loop."""
     c = gram.covariance(S.user_event_series(spark, sf), by=["event_type"])
-    return c.where(F.col("NO") > 0).select("event_type", "i", "j", "NO", sig("cov", 8).alias("cov"))
+    return c.where(F.col("NO") > 0).select("event_type", "i", "j", "NO", sig("cov", 7).alias("cov"))
 
 
 @register(
     "position_stats_by_group",
     f"""
 WITH {EVENT_SERIES}
-SELECT event_type, pos, {sig_sql('sum(v)')} AS E, count(v) AS NE, {sig_sql('avg(v)')} AS mean
+SELECT event_type, pos, {sig_sql('sum(v)', 11)} AS E, count(v) AS NE, {sig_sql('avg(v)', 11)} AS mean
 FROM eseries GROUP BY 1, 2
 """,
 )
 def position_stats_by_group(spark, sf):
     s = stats.position_stats(S.user_event_series(spark, sf), by=["event_type"])
-    return s.select("event_type", "pos", sig("E").alias("E"), "NE", sig("mean").alias("mean"))
+    return s.select("event_type", "pos", sig("E", 11).alias("E"), "NE", sig("mean", 11).alias("mean"))
 
 
 # ---------------------------------------------------------------- PCA (M3)

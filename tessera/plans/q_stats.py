@@ -15,12 +15,12 @@ from .sqltext import SERIES, rnd_sql, sig_sql
     "position_stats",
     f"""
 WITH {SERIES}
-SELECT pos, {sig_sql('sum(v)')} AS E, count(v) AS NE,
-       {sig_sql('sum(v) / count(v)')} AS mean,
-       {sig_sql('sum(v * v) / count(v) - (sum(v) / count(v)) * (sum(v) / count(v))')} AS var
+SELECT pos, {sig_sql('sum(v)', 11)} AS E, count(v) AS NE,
+       {sig_sql('sum(v) / count(v)', 11)} AS mean,
+       {sig_sql('sum(v * v) / count(v) - (sum(v) / count(v)) * (sum(v) / count(v))', 11)} AS var
 FROM series GROUP BY pos
 """,
 )
 def position_stats(spark, sf):
     s = stats.position_stats(S.nation_year_series(spark, sf))
-    return s.select("pos", sig("E").alias("E"), "NE", sig("mean").alias("mean"), sig("var").alias("var"))
+    return s.select("pos", sig("E", 11).alias("E"), "NE", sig("mean", 11).alias("mean"), sig("var", 11).alias("var"))
