@@ -63,20 +63,17 @@ def global_cumsum(
     offsets = totals.select("_pid", *[F.coalesce(F.sum(f"_t{i}").over(w), F.lit(0.0)).alias(f"_o{i}") for i in range(len(cols))])
 
     cum_names = [f"{c}{suffix}" for c in cols]
+    # The partition id is taken by ``spark_partition_id()`` in the child's own projection: inside a
+    # Union, TaskContext.partitionId() would be the union's (offset) index instead.
+    tagged = r.withColumn("_pid", pid)
     schema = T.StructType(
-        list(r.schema.fields)
-        + [T.StructField("_pid", T.IntegerType())]
-        + [T.StructField(f"_l{i}", T.DoubleType()) for i in range(len(cols))]
+        list(tagged.schema.fields) + [T.StructField(f"_l{i}", T.DoubleType()) for i in range(len(cols))]
     )
 
     def local(it):
-        import pyspark
-
-        p = pyspark.TaskContext.get().partitionId()
         run = np.zeros(len(cols))
         for pdf in it:
             pdf = pdf.copy()
-            pdf["_pid"] = np.int32(p)
             for i, c in enumerate(cols):
                 v = pd.to_numeric(pdf[c], errors="coerce").fillna(0.0).to_numpy(dtype=np.float64)
                 cs = np.cumsum(v) + run[i]
@@ -85,7 +82,7 @@ def global_cumsum(
                 pdf[f"_l{i}"] = cs
             yield pdf
 
-    loc = r.mapInPandas(local, schema)
+    loc = tagged.mapInPandas(local, schema)
     out = loc.join(F.broadcast(offsets), "_pid")
     out = out.select(
         *[F.col(f.name) for f in r.schema.fields],
