@@ -26,6 +26,7 @@ MODULES = (
     "q_sample",
     "q_vector",
     "q_learn",
+    "q_io",
 )
 
 
