@@ -13,7 +13,8 @@ Physical plan
    with two BLAS products per batch, and emits only the upper triangle once, at the end.
 2. ``groupBy(group, i, j).sum``: the shuffle carries tasks x groups x (d+1)(d+2)/2 rows -- it does
    not grow with the number of vectors, and a hot group is spread over all its tasks.
-3. Mean and Cov are read off the summed triangle with two small equi-joins on i and j.
+3. The summed triangle is checkpointed (it is tiny), then Mean and Cov are read off it with two
+   small equi-joins on i and j -- the expensive pass runs once.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.vec import to_double_array
+from ..session import cut_lineage
 
 
 def gram_partials(df: DataFrame, vec: str = "v", by: Sequence[str] = ()) -> DataFrame:
@@ -85,7 +87,10 @@ def gram_sums(df: DataFrame, vec: str = "v", by: Sequence[str] = ()) -> DataFram
 def covariance(df: DataFrame, vec: str = "v", by: Sequence[str] = (), full: bool = True) -> DataFrame:
     """Long covariance (by..., i, j, O, NO, cov) with 0-based positions; full square when ``full``."""
     by = list(by)
-    g = gram_sums(df, vec, by)
+    # The summed triangle is small (groups x (d+1)(d+2)/2 rows) and is read four times below (O,
+    # two mean lookups, the mirror); without this checkpoint each read would re-run the scan and
+    # the Python Gram stage (Python stages are not shared by exchange reuse).
+    g = cut_lineage(gram_sums(df, vec, by))
     mean = g.where(F.col("i") == 0).select(
         *by, (F.col("j") - 1).alias("_p"), F.try_divide(F.col("s"), F.col("n").cast("double")).alias("_m")
     ).where(F.col("_p") >= 0)
