@@ -17,7 +17,7 @@ from ..functions.vec import to_double_array
 
 
 def running_position_sums(stream: DataFrame, vec: str = "v", by: Sequence[str] = ()) -> DataFrame:
-    """Streaming aggregate (by..., pos) -> E, NE, S2; use outputMode('update') or 'complete'."""
+    """Streaming aggregate (by..., pos) -> E, NE, S2 (``update`` or ``complete`` output mode)."""
     e = stream.select(*by, F.posexplode(to_double_array(vec)).alias("pos", "x"))
     return e.groupBy(*by, "pos").agg(F.sum("x").alias("E"), F.count("x").alias("NE"), F.sum(F.col("x") * F.col("x")).alias("S2"))
 
@@ -29,7 +29,7 @@ def finish_position_stats(sums: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def start_position_stats(stream: DataFrame, query_name: str, checkpoint: str, vec: str = "v", by: Sequence[str] = ()):
-    """Start the running sums into an in-memory table named ``query_name`` (update mode)."""
+    """Start the running sums into an in-memory table named ``query_name`` (complete mode)."""
     return (
         running_position_sums(stream, vec, by)
         .writeStream.outputMode("complete")
