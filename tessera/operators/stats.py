@@ -121,16 +121,13 @@ def mean_std_ratio(df: DataFrame, key: str, value: str) -> DataFrame:
     return g.agg(F.max("ratio").alias("max_ratio"), F.min("ratio").alias("min_ratio"), F.count("ratio").alias("n_groups"))
 
 
-def box_stats(df: DataFrame, key: str, value: str, method: str = "approx", accuracy: int = 100000) -> DataFrame:
-    """Quartiles per key and whiskers at 1.5 IQR clipped to the data.
+def box_stats(df: DataFrame, key: str, value: str, accuracy: int = 100000) -> DataFrame:
+    """Approximate quartiles per key (a sketch per group, constant memory) and whiskers at 1.5 IQR.
 
-    ``approx`` (default at scale) is a per-group sketch; ``exact`` uses Spark's ``percentile``, which
-    buffers one group's distinct values in one task -- only for bounded groups.
+    For exact quartiles use ``box_stats_exact`` (distributed ranks; Spark's own ``percentile``
+    would buffer one group's values in one task, which a hot group cannot afford).
     """
-    if method == "exact":
-        q = F.percentile(F.col(value), [0.25, 0.5, 0.75])
-    else:
-        q = F.percentile_approx(F.col(value), [0.25, 0.5, 0.75], accuracy)
+    q = F.percentile_approx(F.col(value), [0.25, 0.5, 0.75], accuracy)
     g = df.groupBy(key).agg(q.alias("q"), F.min(value).alias("_mn"), F.max(value).alias("_mx"), F.count(value).alias("n"))
     iqr = F.col("q")[2] - F.col("q")[0]
     base = g.select(
