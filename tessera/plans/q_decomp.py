@@ -10,6 +10,7 @@ from ..functions import vec as V
 from ..functions.rounding import rnd, sig
 from ..operators import decomp, gram, stats
 from ..operators.series import explode_series
+from ..session import cut_lineage
 from . import standins as S
 from .registry import register
 from .sqltext import EVENT_SERIES, SERIES, VECS, rnd_sql, sig_sql
@@ -201,7 +202,9 @@ wide AS (SELECT t.station, t.yr, t.total_var, t.rr0 / t.total_var AS res_mean, {
 
 
 def _decomposed(spark, sf):
-    series = S.nation_year_series(spark, sf)
+    # the series table (keys x d) is read twice -- mean vector, then projection -- so it is
+    # checkpointed once instead of re-running the orders x customer scan
+    series = cut_lineage(S.nation_year_series(spark, sf))
     U = decomp.fourier_rows(S.NATION_YEAR_D)
     return decomp.decompose(series, U, _series_mean(series), keep=["station", "yr"])
 
