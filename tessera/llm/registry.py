@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
-from . import bpe
+from . import bpe, decontaminate, licenses, quality, secrets
 from .common import QueryFn
 
 _QUERIES: dict[str, QueryFn] = {
+    "op2_quality": quality.op2_quality,
+    "op3_secrets": secrets.op3_secrets,
+    "op4_decontaminate": decontaminate.op4_decontaminate,
     "op6_bpe": bpe.op6_bpe,
+    "op8_licenses": licenses.op8_licenses,
 }
 
-_ORACLE: dict[str, str] = {}
+_ORACLE: dict[str, str] = {
+    "op2_quality": quality.SQL,
+    "op3_secrets": secrets.SQL,
+    "op4_decontaminate": decontaminate.SQL,
+}
 
 
 def queries() -> dict[str, QueryFn]:
