@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, licenses, quality, secrets
+from . import bpe, decontaminate, licenses, near_dups, quality, secrets
 from .common import QueryFn
 
 _QUERIES: dict[str, QueryFn] = {
@@ -11,6 +11,7 @@ _QUERIES: dict[str, QueryFn] = {
     "op4_decontaminate": decontaminate.op4_decontaminate,
     "op6_bpe": bpe.op6_bpe,
     "op8_licenses": licenses.op8_licenses,
+    "op10_near_dups": near_dups.op10_near_dups,
 }
 
 _ORACLE: dict[str, str] = {
