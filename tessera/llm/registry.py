@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, licenses, near_dups, quality, secrets
+from . import bpe, decontaminate, licenses, near_dups, quality, secrets, toxicity
 from .common import QueryFn
 
 _QUERIES: dict[str, QueryFn] = {
     "op2_quality": quality.op2_quality,
     "op3_secrets": secrets.op3_secrets,
     "op4_decontaminate": decontaminate.op4_decontaminate,
+    "op5_toxicity": toxicity.op5_toxicity,
     "op6_bpe": bpe.op6_bpe,
     "op8_licenses": licenses.op8_licenses,
     "op10_near_dups": near_dups.op10_near_dups,
