@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, licenses, near_dups, quality, secrets, toxicity
+from . import bpe, chat, decontaminate, licenses, near_dups, quality, secrets, toxicity
 from .common import QueryFn
 
 _QUERIES: dict[str, QueryFn] = {
@@ -12,6 +12,7 @@ _QUERIES: dict[str, QueryFn] = {
     "op5_toxicity": toxicity.op5_toxicity,
     "op6_bpe": bpe.op6_bpe,
     "op8_licenses": licenses.op8_licenses,
+    "op9_chat": chat.op9_chat,
     "op10_near_dups": near_dups.op10_near_dups,
 }
 
@@ -19,6 +20,7 @@ _ORACLE: dict[str, str] = {
     "op2_quality": quality.SQL,
     "op3_secrets": secrets.SQL,
     "op4_decontaminate": decontaminate.SQL,
+    "op9_chat": chat.SQL,
 }
 
 
