@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, decontaminate, licenses, near_dups, quality, secrets, toxicity
+from . import bpe, chat, decontaminate, licenses, near_dups, pii, quality, secrets, toxicity
 from .common import QueryFn
 
 _QUERIES: dict[str, QueryFn] = {
+    "op1_private": pii.op1_private,
     "op2_quality": quality.op2_quality,
     "op3_secrets": secrets.op3_secrets,
     "op4_decontaminate": decontaminate.op4_decontaminate,
