@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, decontaminate, licenses, near_dups, pii, quality, secrets, toxicity
+from . import bpe, chat, decontaminate, licenses, near_dups, pii, quality, repeats, secrets, toxicity
 from .common import QueryFn
 
 _QUERIES: dict[str, QueryFn] = {
@@ -12,6 +12,7 @@ _QUERIES: dict[str, QueryFn] = {
     "op4_decontaminate": decontaminate.op4_decontaminate,
     "op5_toxicity": toxicity.op5_toxicity,
     "op6_bpe": bpe.op6_bpe,
+    "op7_repeats": repeats.op7_repeats,
     "op8_licenses": licenses.op8_licenses,
     "op9_chat": chat.op9_chat,
     "op10_near_dups": near_dups.op10_near_dups,
