@@ -115,8 +115,10 @@ def judge(docs: DataFrame, rules: tuple[Threshold, ...] = RULES, text: str = "te
 
 def keep_good(docs: DataFrame, rules: tuple[Threshold, ...] = RULES) -> DataFrame:
     """The rows of ``docs`` whose text passes all rules, columns unchanged (whatever their names)."""
-    rows = docs.select(F.struct("*").alias("row"))
-    return judge(rows, rules, "row.text").where("_verdict.kept").select("row.*")
+    rows = judge(docs.select(F.struct("*").alias("row")), rules, "row.text")
+    # as an array of no or one row, not as a filter: a filter would be pushed below the projections and
+    # take their expressions along, one copy for each use
+    return rows.select(F.inline(F.filter(F.array("row"), lambda r: F.col("_verdict.kept"))))
 
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
