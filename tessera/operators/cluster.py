@@ -1,7 +1,7 @@
 """Centroids, nearest-centroid assignment, Lloyd steps, k-means fits and quantisation reports.
 
 Nearest-centroid join without a cross join: the codebook (k x d, size-checked) is broadcast once
-per task and every Arrow batch of points is scored against it with one BLAS product; ties go to
+per task and every Arrow batch of points is scored against it, one centre after the other; ties go to
 the lowest centroid index (``np.argmin``).  New centroids are a ``groupBy(cluster, pos)`` average
 (partial aggregation), so one huge cluster is averaged across all tasks that hold its points.
 """
@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.hashing import hash60, uniform
 from ..functions.vec import to_double_array
 from ..session import cut_lineage
 
@@ -31,7 +32,9 @@ def group_means(df: DataFrame, group: str, vec: str = "x") -> DataFrame:
 
 def codebook(means: DataFrame, group: str, pos: str = "pos", value: str = "mean") -> tuple[np.ndarray, np.ndarray]:
     """Collect a (k x d) codebook; k x d is bounded by the caller's k and the vector width."""
-    rows = means.select(group, pos, value).collect()
+    rows = means.select(group, pos, value).limit(MAX_CODEBOOK_ENTRIES + 1).collect()
+    if len(rows) > MAX_CODEBOOK_ENTRIES:
+        raise ValueError(f"codebook exceeds {MAX_CODEBOOK_ENTRIES} entries")
     ids = sorted({r[0] for r in rows})
     d = max(r[1] for r in rows) + 1
     if len(ids) * d > MAX_CODEBOOK_ENTRIES:
@@ -63,7 +66,10 @@ def score_matrix(df: DataFrame, centres: np.ndarray, vec: str = "x", keep: Seque
             if pdf.empty:
                 continue
             X = _matrix(pdf["_x"], Cv.shape[1])
-            D = ((X[:, None, :] - Cv[None, :, :]) ** 2).sum(axis=2)
+            D = np.empty((X.shape[0], Cv.shape[0]))
+            for j in range(Cv.shape[0]):  # one centre at a time: no batch x k x d temporary
+                diff = X - Cv[j]
+                D[:, j] = (diff * diff).sum(axis=1)
             o = pdf[keep].copy()
             o[out] = list(-D)
             yield o
@@ -122,8 +128,8 @@ def kmeans_errors(assigned: DataFrame, d: int) -> DataFrame:
 
 
 def hash_order(key: str, seed: int = 0):
-    """Deterministic pseudo-random order by plain integer arithmetic (same in DuckDB)."""
-    return F.pmod(F.col(key) * F.lit(7919) + F.lit(13 + seed), F.lit(10007))
+    """Deterministic pseudo-random order by the shared 60-bit hash (same in DuckDB)."""
+    return hash60(key, seed)
 
 
 def first_k_by_hash(points: DataFrame, k: int, key: str = "vec_id", vec: str = "x", seed: int = 0) -> np.ndarray:
@@ -176,12 +182,11 @@ def kpp_rounds(points: DataFrame, vec: str = "x", key: str = "vec_id", rounds: i
         curve.append((len(C), float(tot["m"] or 0.0)))
         if not tot["s"]:
             break
-        u = (F.pmod(F.col(key) * F.lit(104729) + F.lit(7919 * (r + 1) + seed), F.lit(1000003)) / F.lit(1000003.0))
-        pick = a.where(u < F.lit(oversample) * F.col("d2") / F.lit(float(tot["s"]))).select(vec).collect()
+        pick = a.where(uniform(key, 1000 * seed + r + 1) < F.lit(oversample) * F.col("d2") / F.lit(float(tot["s"]))).select(vec).collect()
         if pick:
             C = np.vstack([C, np.array([p[vec] for p in pick], dtype=np.float64)])
         if C.size > MAX_CODEBOOK_ENTRIES:
-            break
+            raise ValueError(f"{len(C)} centres exceed {MAX_CODEBOOK_ENTRIES} entries: ask for fewer rounds or less oversampling")
     return curve
 
 

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.hashing import hash60
 from ..functions.vec import topk_desc
 from .ordered import global_cumsum
 
@@ -87,9 +88,8 @@ def roc_points(df: DataFrame, label: str, score: str) -> DataFrame:
         F.sum((F.col(label) == 1).cast("long")).alias("pos"), F.sum((F.col(label) != 1).cast("long")).alias("neg")
     )
     cum = global_cumsum(per, [F.desc("threshold")], ["pos", "neg"])
-    tot = df.agg(F.sum((F.col(label) == 1).cast("double")).alias("P"), F.sum((F.col(label) != 1).cast("double")).alias("N")).first()
-    P, N = float(tot["P"]), float(tot["N"])
-    pts = cum.select("threshold", (F.col("neg_cum") / F.lit(N)).alias("fpr"), (F.col("pos_cum") / F.lit(P)).alias("tpr"))
+    tot = per.agg(F.sum("pos").alias("_P"), F.sum("neg").alias("_N"))  # one row; a rate without its class is NULL
+    pts = cum.join(F.broadcast(tot)).select("threshold", F.try_divide("neg_cum", "_N").alias("fpr"), F.try_divide("pos_cum", "_P").alias("tpr"))
     lead = df.sparkSession.range(1).select(F.lit(None).cast("double").alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
     return lead.unionByName(pts)
 
@@ -199,10 +199,9 @@ def abstain_stats(df: DataFrame, label: str, score: str, lo: Column | float, hi:
 
 def bootstrap_draws(spark: SparkSession, n_rows: int, replicates: int = 200, size: int = 500, seed: int = 0) -> DataFrame:
     """(rep, draw, idx): ``size`` row indices in [0, n_rows) per replicate, with replacement, from
-    plain integer arithmetic (reproducible in SQL).  Generated on the executors from ``range``."""
+    the shared 60-bit hash of the draw number (reproducible in SQL).  Generated on the executors from ``range``."""
     r = spark.range(replicates * size)
-    x = F.col("id") + F.lit(seed * 1000003)
-    idx = F.pmod(F.pmod(x * 7919 + 13, F.lit(10007)) * 104729 + F.pmod(x * 31 + 7, F.lit(9973)), F.lit(n_rows))
+    idx = F.pmod(hash60("id", seed), F.lit(n_rows))
     return r.select((F.col("id") / size).cast("int").alias("rep"), (F.col("id") % size).cast("int").alias("draw"), idx.cast("long").alias("idx"))
 
 

@@ -1,7 +1,7 @@
-"""Deterministic sampling and splitting by plain integer hashing of a key.
+"""Deterministic sampling and splitting by a shared 60-bit hash of (seed, key).
 
-``hash_key`` = pmod(key * 7919 + 13 + seed, 10007): reproducible in SQL engines, stable under
-re-partitioning and task retries (unlike ``rand()``), and computed row by row with no shuffle.
+Reproducible in SQL engines, stable under re-partitioning and task retries (unlike ``rand()``), and
+computed row by row with no shuffle. Different seeds give independent draws.
 """
 
 from __future__ import annotations
@@ -11,41 +11,44 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MODULUS = 10007
+from ..functions.hashing import cut, hash60
 
 
 def hash_key(key: str, seed: int = 0) -> Column:
-    return F.pmod(F.col(key) * F.lit(7919) + F.lit(13 + seed), F.lit(MODULUS))
+    return hash60(key, seed)
 
 
 def hash_sample(df: DataFrame, key: str, fraction: float, seed: int = 0) -> DataFrame:
-    """Rows whose hash falls below fraction * M (about ``fraction`` of the rows)."""
-    return df.where(hash_key(key, seed) < F.lit(int(round(fraction * MODULUS))))
+    """Rows whose hash falls below the fraction of its span: about ``fraction`` of the rows, however small."""
+    return df.where(hash60(key, seed) < F.lit(cut(fraction)))
 
 
-def hash_split(df: DataFrame, key: str, parts: Mapping[str, float], seed: int = 0, buckets: int = 100) -> DataFrame:
-    """Add ``split``: consecutive bucket ranges of pmod(hash, buckets) per named part (shares sum to 1)."""
-    b = F.pmod(hash_key(key, seed), F.lit(buckets))
+def split_edges(parts: Mapping[str, float]) -> list[tuple[str, int]]:
+    """(name, exclusive upper hash value) for consecutive shares that sum to 1."""
+    edge, out = 0.0, []
+    for name, share in parts.items():
+        edge += share
+        out.append((name, cut(edge)))
+    return out
+
+
+def hash_split(df: DataFrame, key: str, parts: Mapping[str, float], seed: int = 0) -> DataFrame:
+    """Add ``split``: consecutive ranges of the hash per named part (shares sum to 1)."""
+    *first, (last, _) = split_edges(parts)
     expr = None
-    edge = 0.0
-    names = list(parts)
-    for i, name in enumerate(names):
-        edge += parts[name]
-        cond = b < F.lit(int(round(edge * buckets)))
-        if i == len(names) - 1:
-            expr = expr.otherwise(F.lit(name)) if expr is not None else F.lit(name)
-        else:
-            expr = F.when(cond, F.lit(name)) if expr is None else expr.when(cond, F.lit(name))
-    return df.withColumn("split", expr)
+    for name, edge in first:
+        cond = hash60(key, seed) < F.lit(edge)
+        expr = F.when(cond, F.lit(name)) if expr is None else expr.when(cond, F.lit(name))
+    return df.withColumn("split", expr.otherwise(F.lit(last)) if expr is not None else F.lit(last))
 
 
 def fold_column(df: DataFrame, key: str, k: int, seed: int = 0, name: str = "fold") -> DataFrame:
-    return df.withColumn(name, F.pmod(hash_key(key, seed), F.lit(k)).cast("int"))
+    return df.withColumn(name, F.pmod(hash60(key, seed), F.lit(k)).cast("int"))
 
 
 def shuffle_take(df: DataFrame, key: str, n: int, seed: int = 0) -> DataFrame:
     """First n rows of a seeded shuffle: a TakeOrderedAndProject on (hash, key)."""
-    return df.orderBy(hash_key(key, seed), F.col(key)).limit(n)
+    return df.orderBy(hash60(key, seed), F.col(key)).limit(n)
 
 
 def bernoulli(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:

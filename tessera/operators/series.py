@@ -23,6 +23,11 @@ from pyspark.sql import functions as F
 from ..functions.vec import to_double_array
 
 
+def _out_of_range(pos: str, d: int) -> Column:
+    text = F.concat(F.lit("build_series: position "), F.coalesce(F.col(pos).cast("string"), F.lit("NULL")), F.lit(f" is outside 0..{d - 1}"))
+    return F.raise_error(text).cast("int")
+
+
 def build_series(
     cells: DataFrame,
     keys: Sequence[str],
@@ -34,11 +39,12 @@ def build_series(
 ) -> DataFrame:
     """Long cells -> one dense ``array<double>`` of length ``d`` per key; absent cells are NULL.
 
-    Cells with the same (key, pos) are combined with ``agg`` (sum, avg, max, min, first).
+    Cells with the same (key, pos) are combined with ``agg`` (sum, avg, max, min, first). A cell whose
+    position is NULL or outside 0 .. d-1 is an error, never dropped.
     """
     aggf = {"sum": F.sum, "avg": F.avg, "max": F.max, "min": F.min, "first": F.first}[agg]
     c = (
-        cells.where(F.col(pos).between(0, d - 1))
+        cells.withColumn(pos, F.when(F.col(pos).between(0, d - 1), F.col(pos)).otherwise(_out_of_range(pos, d)))
         .groupBy(*keys, pos)
         .agg(aggf(F.col(value).cast("double")).alias("_v"))
     )

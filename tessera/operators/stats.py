@@ -167,25 +167,24 @@ def null_fraction(df: DataFrame, row: str, col: str, value: str, by: str) -> Dat
     """
     other = col if by == row else row
     total = df.select(other).distinct().count()  # one scalar: size of the other key's domain
-    return df.where(F.col(value).isNotNull()).groupBy(by).agg(
-        (F.lit(1.0) - F.countDistinct(other) / F.lit(float(total))).alias("null_fraction")
-    )
+    defined = F.countDistinct(F.when(F.col(value).isNotNull(), F.col(other)))  # 0 for a key whose cells are all missing
+    return df.groupBy(by).agg((F.lit(1.0) - defined / F.lit(float(total))).alias("null_fraction"))
 
 
 def histogram(df: DataFrame, value: str, bins: int = 50, lo: float | None = None, hi: float | None = None) -> DataFrame:
-    """Equal-width bins over [min, max]; the maximum goes into the last bin (``np.histogram``)."""
+    """Equal-width bins over [lo, hi] (default: min and max), all of them, empty ones with n = 0; the
+    maximum goes into the last bin, values outside count nowhere (``np.histogram``)."""
     x = F.col(value).cast("double")
     rng = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi")).first()
     lo = float(rng["lo"]) if lo is None else lo
     hi = float(rng["hi"]) if hi is None else hi
     width = (hi - lo) / bins if hi > lo else 1.0
     b = F.least(F.floor((x - F.lit(lo)) / F.lit(width)).cast("int"), F.lit(bins - 1))
-    return (
-        df.where(x.isNotNull())
-        .groupBy(b.alias("bin"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select("bin", (F.lit(lo) + F.col("bin") * F.lit(width)).alias("left"), "n")
-    )
+    counts = df.where(x.between(lo, hi)).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("c"))
+    every = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
+    out = every.join(counts, "bin", "left")
+    return out.select("bin", (F.lit(lo) + F.col("bin") * F.lit(width)).alias("left"), F.coalesce("c", F.lit(0)).cast("long").alias("n"))
+
 
 
 def distinct_rounded(df: DataFrame, value: str, digits: int = 2) -> DataFrame:

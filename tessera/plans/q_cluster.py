@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import itertools
-
 import numpy as np
 from pyspark.sql import functions as F
 
 from ..functions import vec as V
+from ..functions.hashing import hash60_sql
 from ..functions.rounding import rnd
 from ..operators import cluster
 from . import standins as S
@@ -19,8 +18,8 @@ K = 10
 # first K rows in hash order as the starting centres
 _INIT = f"""
 {VECS},
-init AS (SELECT vec_id, CAST(row_number() OVER (ORDER BY (vec_id * 7919 + 13) % 10007, vec_id) - 1 AS INTEGER) AS cid
-         FROM embeddings ORDER BY (vec_id * 7919 + 13) % 10007, vec_id LIMIT {K}),
+init AS (SELECT vec_id, CAST(row_number() OVER (ORDER BY {hash60_sql('vec_id')}, vec_id) - 1 AS INTEGER) AS cid
+         FROM embeddings ORDER BY {hash60_sql('vec_id')}, vec_id LIMIT {K}),
 c0 AS (SELECT i.cid, v.pos, v.x AS m FROM init i JOIN vlong v ON v.vec_id = i.vec_id)
 """
 
@@ -111,8 +110,8 @@ def vq_decode(spark, sf):
 @register(
     "vq_random_codebook",
     f"""WITH {VECS},
-book AS (SELECT vec_id, CAST(row_number() OVER (ORDER BY (vec_id * 7919 + 14) % 10007, vec_id) - 1 AS INTEGER) AS cid
-         FROM embeddings ORDER BY (vec_id * 7919 + 14) % 10007, vec_id LIMIT {K + 1}),
+book AS (SELECT vec_id, CAST(row_number() OVER (ORDER BY {hash60_sql('vec_id', 1)}, vec_id) - 1 AS INTEGER) AS cid
+         FROM embeddings ORDER BY {hash60_sql('vec_id', 1)}, vec_id LIMIT {K + 1}),
 cb AS (SELECT b.cid, v.pos, v.x AS m FROM book b JOIN vlong v ON v.vec_id = b.vec_id),
 {_assign_sql('vlong', 'cb', 'a1')}
 SELECT cluster, count(*) AS n FROM a1 GROUP BY 1""",
@@ -151,13 +150,12 @@ def kmeans_fit(spark, sf):
 
 @register("vq_encode")
 def vq_encode(spark, sf):
-    """C4: fit the codebook on a 1000-row hash sample, then label every row."""
+    """C4: fit the codebook on all rows (Spark ML k-means is distributed), then label every row."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
     pts = _points(spark, sf).select("vec_id", array_to_vector("x").alias("features"))
-    sample = pts.orderBy(cluster.hash_order("vec_id"), "vec_id").limit(1000)
-    m = KMeans(k=K, seed=1).fit(sample)
+    m = KMeans(k=K, seed=1).fit(pts)
     return m.transform(pts).select("vec_id", F.col("prediction").alias("code"))
 
 
@@ -182,11 +180,8 @@ def elbow_curve(spark, sf):
 
 
 def hungarian_max(M: np.ndarray) -> list[tuple[int, int]]:
-    """Best one-to-one matching maximising the total of a small square matrix (k <= 20)."""
+    """Best one-to-one matching maximising the total of a small square matrix."""
     k = M.shape[0]
-    if k <= 8:
-        best = max(itertools.permutations(range(k)), key=lambda p: sum(M[i, p[i]] for i in range(k)))
-        return [(i, best[i]) for i in range(k)]
     # O(k^3) potentials method on the cost matrix -M
     C = M.max() - M
     u = np.zeros(k + 1); v = np.zeros(k + 1); p = np.zeros(k + 1, dtype=int); way = np.zeros(k + 1, dtype=int)
@@ -224,13 +219,15 @@ def cluster_label_errors(spark, sf):
     pts = _points(spark, sf)
     a = cluster.assign_nearest(pts, _init(spark, sf), keep=["vec_id", "label"])
     cont = a.groupBy("cluster", "label").agg(F.count(F.lit(1)).alias("n")).collect()  # <= k x labels cells
-    M = np.zeros((K, K))
+    labels = sorted({r["label"] for r in cont})
+    side = max(K, len(labels))
+    M = np.zeros((side, side))  # padded by empty clusters or labels
     for r in cont:
-        M[r["cluster"], r["label"]] = r["n"]
+        M[r["cluster"], labels.index(r["label"])] = r["n"]
     match = hungarian_max(M)
     total = M.sum()
     correct = sum(M[i, j] for i, j in match)
-    rows = [(int(i), int(j), int(M[i, j])) for i, j in match]
+    rows = [(int(i), int(labels[j]), int(M[i, j])) for i, j in match if i < K and j < len(labels)]
     out = spark.createDataFrame(rows, "cluster int, label int, n_matched int")
     return out.withColumn("label_error", F.lit(float(1 - correct / total)))
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.hashing import hash60_sql
 from ..functions import vec as V
 from ..functions.rounding import rnd
 from ..operators import cluster, judge, stats
@@ -209,7 +210,7 @@ def abstain_stats(spark, sf):
     return a.select(*[rnd(c, 12).alias(c) for c in ("accuracy", "accuracy_upper", "accuracy_lower", "abstain")])
 
 
-_BOOT_IDX = "(((x * 7919 + 13) % 10007) * 104729 + ((x * 31 + 7) % 9973)) % n"
+_BOOT_IDX = f"{hash60_sql('x')} % n"
 
 
 @register(

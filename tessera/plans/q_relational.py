@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..functions.hashing import hash60, hash60_sql
 from ..functions import vec as V
 from ..functions.rounding import rnd, sig
 from ..operators import effects, ordered, series, stats
@@ -507,8 +508,10 @@ def alternating_means(spark, sf):
     "histogram",
     """
 WITH r AS (SELECT min(value) AS lo, max(value) AS hi FROM events),
-b AS (SELECT CAST(least(floor((value - lo) / ((hi - lo) / 50)), 49) AS INTEGER) AS bin, lo, hi FROM events, r)
-SELECT bin, round_even(any_value(lo) + bin * (any_value(hi) - any_value(lo)) / 50, 9) + 0.0 AS "left", count(*) AS n FROM b GROUP BY bin
+b AS (SELECT CAST(least(floor((value - lo) / ((hi - lo) / 50)), 49) AS INTEGER) AS bin FROM events, r),
+n AS (SELECT bin, count(*) AS n FROM b GROUP BY bin)
+SELECT CAST(g.i AS INTEGER) AS bin, round_even(lo + g.i * (hi - lo) / 50, 9) + 0.0 AS "left", coalesce(n, 0) AS n
+FROM range(50) g(i) CROSS JOIN r LEFT JOIN n ON n.bin = g.i
 """,
 )
 def histogram(spark, sf):
@@ -589,7 +592,7 @@ def smooth_series(spark, sf):
 def _hourly(spark, sf):
     e = S.table(spark, sf, "events", "event_type", "ts")
     cells = e.select("event_type", ((F.dayofmonth("ts") - 1) * 24 + F.hour("ts")).cast("int").alias("pos"), F.lit(1.0).alias("one"))
-    return series.build_series(cells, ["event_type"], "pos", "one", 720)
+    return series.build_series(cells, ["event_type"], "pos", "one", 744)
 
 
 @register(
@@ -598,17 +601,17 @@ def _hourly(spark, sf):
 WITH cell AS (SELECT event_type, CAST((day(ts) - 1) * 24 + hour(ts) AS INTEGER) AS pos, CAST(count(*) AS DOUBLE) AS v
               FROM events GROUP BY 1, 2),
 g AS (SELECT t.event_type, CAST(p.range AS INTEGER) AS pos, c.v FROM (SELECT DISTINCT event_type FROM cell) t
-      CROSS JOIN range(720) p LEFT JOIN cell c ON c.event_type = t.event_type AND c.pos = p.range),
+      CROSS JOIN range(744) p LEFT JOIN cell c ON c.event_type = t.event_type AND c.pos = p.range),
 w AS (SELECT event_type, pos, v,
              avg(v) OVER (PARTITION BY event_type ORDER BY pos ROWS BETWEEN 5 PRECEDING AND 4 FOLLOWING) AS s1,
              avg(v) OVER (PARTITION BY event_type ORDER BY pos ROWS BETWEEN 50 PRECEDING AND 49 FOLLOWING) AS s2
       FROM g)
-SELECT event_type, pos, {rnd_sql('CASE WHEN pos < 10 THEN v WHEN pos < 100 THEN s1 WHEN pos + 50 <= 720 THEN s2 END', 9)} AS s
+SELECT event_type, pos, {rnd_sql('CASE WHEN pos < 10 THEN v WHEN pos < 100 THEN s1 WHEN pos + 50 <= 744 THEN s2 END', 9)} AS s
 FROM w
 """,
 )
 def multiscale_smooth(spark, sf):
-    """W6 on each event type's 720-hour count series (scales 10 and 100 inside the array)."""
+    """W6 on each event type's 744-hour (31 days) count series (scales 10 and 100 inside the array)."""
     h = _hourly(spark, sf).select("event_type", series.multiscale_smooth(F.col("v")).alias("s"))
     return h.select("event_type", F.posexplode("s").alias("pos", "s")).select("event_type", "pos", rnd("s", 9).alias("s"))
 
@@ -663,22 +666,26 @@ def best_worst_fit(spark, sf):
 
 # ---------------------------------------------------------------- reshape (H1, H5)
 
-_STATIONS = list(range(25))
+#: Stations that may become columns; more is an error.
+_MAX_STATIONS = 1000
 
 
 @register(
     "pivot_year_station",
     f"""
-WITH {SERIES}, tot AS (SELECT yr, station, sum(v) AS v FROM series GROUP BY 1, 2)
-SELECT yr, {", ".join(f'{sig_sql(f"max(CASE WHEN station = {s} THEN v END)", 11)} AS "{s}"' for s in _STATIONS)}
-FROM tot GROUP BY yr
+WITH {SERIES}, tot AS (SELECT yr, station, {sig_sql('sum(v)', 11)} AS v FROM series GROUP BY 1, 2)
+SELECT * FROM (PIVOT tot ON station USING max(v) GROUP BY yr)
 """,
 )
 def pivot_year_station(spark, sf):
-    """Year x station table of annual totals; duplicates would raise.  Columns: station keys."""
+    """Year x station table of annual totals; duplicates would raise.  Columns: the station keys in the
+    data, at most ``_MAX_STATIONS``."""
     s = S.nation_year_series(spark, sf).select("yr", "station", V.vsum("v").alias("v"))
-    p = series.pivot_wide(s, "yr", "station", "v", _STATIONS)
-    return p.select("yr", *[sig(F.col(f"`{c}`"), 11).alias(str(c)) for c in _STATIONS])
+    names = sorted(r["station"] for r in s.select("station").distinct().limit(_MAX_STATIONS + 1).collect())
+    if len(names) > _MAX_STATIONS:
+        raise ValueError(f"more than {_MAX_STATIONS} stations can't become columns")
+    p = series.pivot_wide(s, "yr", "station", "v", names)
+    return p.select("yr", *[sig(F.col(f"`{c}`"), 11).alias(str(c)) for c in names])
 
 
 @register(
@@ -698,19 +705,18 @@ def build_series(spark, sf):
 
 @register(
     "stratified_union",
-    """
+    f"""
 SELECT label, vec_id FROM (
-  SELECT label, vec_id, row_number() OVER (PARTITION BY label ORDER BY (vec_id * 7919 + 13) % 10007, vec_id) AS r
+  SELECT label, vec_id, row_number() OVER (PARTITION BY label ORDER BY {hash60_sql('vec_id')}, vec_id) AS r
   FROM embeddings WHERE label IN (0, 1)) WHERE r <= 20
 """,
 )
 def stratified_union(spark, sf):
-    """Two per-class samples appended (``unionByName``); per-class limit via a window rank filter,
-    which Spark plans as a partial group-limit before the shuffle."""
+    """Two per-class samples appended (``unionByName``); each is a distributed top-n over the hash order."""
     e = S.table(spark, sf, "embeddings", "vec_id", "label")
     parts = []
     for lab in (0, 1):
-        h = F.pmod(F.col("vec_id") * 7919 + 13, F.lit(10007))
+        h = hash60("vec_id")
         parts.append(e.where(F.col("label") == lab).orderBy(h, "vec_id").limit(20).select("label", "vec_id"))
     return parts[0].unionByName(parts[1])
 

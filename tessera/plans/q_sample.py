@@ -1,21 +1,21 @@
 """Sampling, splitting and resampling queries.
 
-All draws use plain integer arithmetic on a key (``pmod(key * A + B, M)``), so the same rows are
-picked in DuckDB and on every re-run or recomputation after an executor loss (``rand()`` would
-change with partitioning).  Row numbers over a shuffled order use the distributed global rank.
+All draws use one shared 60-bit hash of (seed, key), so the same rows are picked in DuckDB and on
+every re-run or recomputation after an executor loss (``rand()`` would change with partitioning).  Row numbers over a shuffled order use the distributed global rank.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.hashing import cut, hash60_sql
 from ..operators import sample
 from ..operators.ordered import global_row_number
 from . import standins as S
 from .registry import register
 
 
-@register("hash_sample", "SELECT event_id, value FROM events WHERE (event_id * 7919 + 13) % 10007 < 100")
+@register("hash_sample", f"SELECT event_id, value FROM events WHERE {hash60_sql('event_id')} < {cut(0.01)}")
 def hash_sample(spark, sf):
     """A 1 % Bernoulli-like sample, deterministic (hash of the key below a cut)."""
     e = S.table(spark, sf, "events", "event_id", "value")
@@ -24,9 +24,9 @@ def hash_sample(spark, sf):
 
 @register(
     "split_70_15_15",
-    """
-SELECT vec_id, CASE WHEN (vec_id * 7919 + 13) % 10007 % 100 < 70 THEN 'train'
-                    WHEN (vec_id * 7919 + 13) % 10007 % 100 < 85 THEN 'validation' ELSE 'test' END AS split
+    f"""
+SELECT vec_id, CASE WHEN {hash60_sql('vec_id')} < {cut(0.70)} THEN 'train'
+                    WHEN {hash60_sql('vec_id')} < {cut(0.70 + 0.15)} THEN 'validation' ELSE 'test' END AS split
 FROM embeddings
 """,
 )
@@ -35,7 +35,7 @@ def split_70_15_15(spark, sf):
     return sample.hash_split(e, "vec_id", {"train": 0.70, "validation": 0.15, "test": 0.15}).select("vec_id", "split")
 
 
-@register("fold_assign", "SELECT vec_id, CAST((vec_id * 7919 + 13) % 10007 % 10 AS INTEGER) AS fold FROM embeddings")
+@register("fold_assign", f"SELECT vec_id, CAST({hash60_sql('vec_id')} % 10 AS INTEGER) AS fold FROM embeddings")
 def fold_assign(spark, sf):
     """10 folds; every row is in exactly one test fold."""
     return sample.fold_column(S.table(spark, sf, "embeddings", "vec_id"), "vec_id", 10).select("vec_id", "fold")
@@ -43,8 +43,8 @@ def fold_assign(spark, sf):
 
 @register(
     "hash_split",
-    """
-SELECT CASE WHEN (event_id * 7919 + 13) % 10007 % 100 < 50 THEN 'train' ELSE 'test' END AS split, count(*) AS n,
+    f"""
+SELECT CASE WHEN {hash60_sql('event_id')} < {cut(0.5)} THEN 'train' ELSE 'test' END AS split, count(*) AS n,
        count(DISTINCT event_id) AS n_distinct FROM events GROUP BY 1
 """,
 )
@@ -56,7 +56,7 @@ def hash_split(spark, sf):
 
 @register(
     "shuffle_take",
-    "SELECT vec_id FROM embeddings ORDER BY (vec_id * 7919 + 13) % 10007, vec_id LIMIT 100",
+    f"SELECT vec_id FROM embeddings ORDER BY {hash60_sql('vec_id')}, vec_id LIMIT 100",
 )
 def shuffle_take(spark, sf):
     """Shuffle, then the first n rows (a distributed top-n over the hash order)."""
@@ -66,8 +66,8 @@ def shuffle_take(spark, sf):
 
 @register(
     "minibatch_assign",
-    """
-SELECT vec_id, CAST((row_number() OVER (ORDER BY (vec_id * 7919 + 13) % 10007, vec_id) - 1) // 100 AS BIGINT) AS batch
+    f"""
+SELECT vec_id, CAST((row_number() OVER (ORDER BY {hash60_sql('vec_id')}, vec_id) - 1) // 100 AS BIGINT) AS batch
 FROM embeddings
 """,
 )

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import codec
 from ..functions import vec as V
+from ..functions.hashing import hash60, hash60_sql, uniform_sql
 from ..functions.rounding import rnd
 from ..operators import decomp
 from ..operators.ordered import global_row_number
@@ -107,8 +108,8 @@ def reshape_grid(spark, sf):
 
 
 # random pairs (J6): pair i joins rows a(i), b(i) picked by integer hashing of i
-_PAIR_A = "((i * 7919 + 13) % 10007) % n"
-_PAIR_B = "((i * 104729 + 7) % 10007) % n"
+_PAIR_A = f"{hash60_sql('i', 1)} % n"
+_PAIR_B = f"{hash60_sql('i', 2)} % n"
 
 _PAIRS_SQL = f"""
 {VECS},
@@ -126,8 +127,8 @@ def _pairs(spark, sf):
     i = spark.range(n).select(F.col("id").alias("i"))
     p = i.select(
         "i",
-        F.pmod(F.pmod(F.col("i") * 7919 + 13, F.lit(10007)), F.lit(n)).alias("ia"),
-        F.pmod(F.pmod(F.col("i") * 104729 + 7, F.lit(10007)), F.lit(n)).alias("ib"),
+        F.pmod(hash60("i", 1), F.lit(n)).alias("ia"),
+        F.pmod(hash60("i", 2), F.lit(n)).alias("ib"),
     )
     a = ranked.select(F.col("idx").alias("ia"), F.col("vec_id").alias("a_id"), F.col("x").alias("xa"))
     b = ranked.select(F.col("idx").alias("ib"), F.col("vec_id").alias("b_id"), F.col("x").alias("xb"))
@@ -183,14 +184,30 @@ def dimension_concentration(spark, sf):
     return out
 
 
-@register("random_projection")
+_DIRECTIONS, _WIDTH = 5, 64
+
+
+@register(
+    "random_projection",
+    f"""WITH {VECS},
+g AS (SELECT CAST(i // {_WIDTH} AS INTEGER) AS dir, CAST(i % {_WIDTH} AS INTEGER) AS pos,
+             sqrt(-2 * ln({uniform_sql('i', 17)})) * cos(2 * pi() * {uniform_sql('i', 18)}) AS g FROM range({_DIRECTIONS * _WIDTH}) t(i))
+SELECT vec_id, dir, {rnd_sql('sum(x * g)', 6)} AS proj FROM vlong JOIN g ON g.pos = vlong.pos GROUP BY 1, 2""",
+)
 def random_projection(spark, sf):
-    """Projections on 5 seeded Gaussian directions (directions generated on the executors)."""
-    dirs = spark.range(5 * 64).select((F.col("id") / 64).cast("int").alias("dir"), (F.col("id") % 64).cast("int").alias("pos"), F.randn(17).alias("g"))
-    dirs = dirs.groupBy("dir").agg(F.sort_array(F.collect_list(F.struct("pos", "g"))).alias("e")).select("dir", F.transform("e", lambda s: s["g"]).alias("u"))
-    x = S.vectors(spark, sf).select("vec_id", F.posexplode("x").alias("pos", "xv"))
-    u = dirs.select("dir", F.posexplode("u").alias("pos", "uv"))
-    return x.join(F.broadcast(u), "pos").groupBy("vec_id", "dir").agg(F.sum(F.col("xv") * F.col("uv")).alias("proj"))
+    """Projections on 5 Gaussian directions (Box-Muller on the shared hash, so they don't depend on
+    the partitioning), computed in the row without a shuffle."""
+    import hashlib
+    import math
+
+    def unit(i: int, seed: int) -> float:
+        return (float(int(hashlib.md5(f"{seed}:{i}".encode()).hexdigest()[:15], 16)) + 0.5) / float(1 << 60)
+
+    g = [math.sqrt(-2 * math.log(unit(i, 17))) * math.cos(2 * math.pi * unit(i, 18)) for i in range(_DIRECTIONS * _WIDTH)]
+    x = S.vectors(spark, sf)
+    one = lambda d: F.struct(F.lit(d).alias("dir"), V.dot("x", V.lit_vector(g[d * _WIDTH : (d + 1) * _WIDTH])).alias("p"))
+    e = x.select("vec_id", F.explode(F.array(*[one(d) for d in range(_DIRECTIONS)])).alias("e"))
+    return e.select("vec_id", "e.dir", rnd("e.p", 6).alias("proj"))
 
 
 @register("f16_roundtrip")

@@ -17,15 +17,15 @@ series AS (
   LEFT JOIN cell c ON c.station = k.station AND c.yr = k.yr AND c.pos = p.pos)
 """
 
-# user x event_type -> 30 daily sums of value, long form with holes
+# user x event_type -> 31 daily sums of value, long form with holes
 EVENT_SERIES = """
 ecell AS (
   SELECT user_id, event_type, CAST(day(ts) AS INTEGER) - 1 AS pos, CAST(sum(value) AS DOUBLE) AS v
-  FROM events WHERE day(ts) BETWEEN 1 AND 30 GROUP BY 1, 2, 3),
+  FROM events GROUP BY 1, 2, 3),
 ekeys AS (SELECT DISTINCT user_id, event_type FROM ecell),
 eseries AS (
   SELECT k.user_id, k.event_type, CAST(p.pos AS INTEGER) AS pos, c.v
-  FROM ekeys k CROSS JOIN (SELECT range AS pos FROM range(30)) p
+  FROM ekeys k CROSS JOIN (SELECT range AS pos FROM range(31)) p
   LEFT JOIN ecell c ON c.user_id = k.user_id AND c.event_type = k.event_type AND c.pos = p.pos)
 """
 

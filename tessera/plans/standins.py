@@ -8,7 +8,7 @@ tables that grow with the data.
 | -------------------- | ------------------------------ | --------------------------------------- |
 | nation_year_cells    | daily measurements (long)      | (station, yr, pos, v)                   |
 | nation_year_series   | station x year vectors, holes  | (station, yr, v array<double>[12])      |
-| user_event_series    | sparse measurement vectors     | (user_id, event_type, v array[30])      |
+| user_event_series    | sparse measurement vectors     | (user_id, event_type, v array[31])      |
 | brand_month_prices   | stock prices (long)            | (brand, period, price)                  |
 | brand_sector         | ticker -> sector               | (brand, sector)                         |
 | vectors              | spectra / digits / points      | (vec_id, label, x array<double>[64])    |
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from ..operators.series import build_series
 
 NATION_YEAR_D = 12
-USER_EVENT_D = 30
+USER_EVENT_D = 31
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:

@@ -2,7 +2,8 @@
 
 Library code never creates its own session; it uses the one it is handed.  ``get_session`` is for
 tests, scripts and the bench only.  ``checkpoint_dir`` reads ``spark.checkpoint.dir`` from the
-session and only falls back to a fresh local scratch folder when nothing is configured (tests).
+session; where nothing is configured it takes a fresh scratch folder on a local master (tests) and
+raises on a cluster.
 """
 
 from __future__ import annotations
@@ -42,7 +43,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        # Only reached in tests / local runs: a cluster names a shared folder in spark.checkpoint.dir.
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="tessera-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
