@@ -18,6 +18,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -419,9 +420,7 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[SECRE
     ``n_chars`` counted anew; null texts stay null, other columns pass."""
     scanner = Scanner(rules)
 
-    def run(texts: Iterator) -> Iterator:
-        import pandas as pd
-
+    def run(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for part in texts:
             raw = [t.encode() for t in part.fillna("")]
             out, at = [], 0
