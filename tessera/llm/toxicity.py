@@ -35,6 +35,8 @@ TRAIN_DOCS = 4000
 MAX_LEXICON = 5000
 #: A lexicon word stands in so many distinct toxic texts at least, with this log-odds ratio and z value.
 LEAST_TEXTS, LEAST_LOG_ODDS, LEAST_Z = 3, 1.5, 3.5
+#: Labels that may be broadcast (12 bytes each); above, texts and labels are shuffled.
+MAX_BROADCAST_LABELS = 1_000_000
 CHAIN = 64
 CUT = 0.3
 CLASSES = 6  # log-odds classes of lexicon words; 0: no lexicon word
@@ -49,17 +51,26 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(text, toxic) of the labelled rows that may be learnt from."""
-    marks = labels.where("toxic is not null").select(F.col("doc_id").alias("label_id"), F.col("toxic").cast("int").alias("toxic"))
-    rows = docs.select("doc_id", text_of().alias("text")).where(~held_out())
-    return rows.join(marks, F.col("doc_id") == F.col("label_id")).select("text", "toxic")
+    """(text, toxic) of the labelled rows that may be learnt from; of equal texts with one label, one.
+
+    The deduplication moves ids and digests only; the kept ids are broadcast to the documents while
+    there are at most ``MAX_BROADCAST_LABELS`` of them, so texts aren't shuffled then.
+    """
+    marks = labels.where("toxic is not null").select(F.col("doc_id").alias("label_id"), F.col("toxic").cast("int").alias("toxic")).distinct()
+    marks = marks.where(~held_out("label_id"))
+    few = marks.count() <= MAX_BROADCAST_LABELS
+    marks = F.broadcast(marks) if few else marks
+    rows = docs.select("doc_id", text_of().alias("text")).join(marks, F.col("doc_id") == F.col("label_id"))
+    kept = rows.groupBy(F.xxhash64("text"), "toxic").agg(F.min("doc_id").alias("kept_id")).select("kept_id", F.col("toxic").alias("kept_toxic")).distinct()
+    kept = F.broadcast(kept) if few else kept
+    texts = docs.select("doc_id", text_of().alias("text"))
+    return texts.join(kept, F.col("doc_id") == F.col("kept_id")).select("text", F.col("kept_toxic").alias("toxic"))
 
 
 def lexicon(train: DataFrame) -> DataFrame:
     """(word, odds): words that stand in toxic texts significantly more often than in others."""
-    texts = train.groupBy(F.xxhash64("text").alias("h"), "toxic").agg(F.min("text").alias("text"))
-    sizes = texts.agg(F.sum("toxic").alias("n1"), F.sum(1 - F.col("toxic")).alias("n0"))
-    words = texts.select("toxic", F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}'’]+"))).alias("word")).where("word <> ''")
+    sizes = train.agg(F.sum("toxic").alias("n1"), F.sum(1 - F.col("toxic")).alias("n0"))
+    words = train.select("toxic", F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}'’]+"))).alias("word")).where("word <> ''")
     counts = words.groupBy("word").agg(F.sum("toxic").alias("d1"), F.sum(1 - F.col("toxic")).alias("d0")).where(F.col("d1") >= LEAST_TEXTS)
     odds = F.log((F.col("d1") + 0.5) / (F.col("n1") - F.col("d1") + 0.5)) - F.log((F.col("d0") + 0.5) / (F.col("n0") - F.col("d0") + 0.5))
     error = F.sqrt(1 / (F.col("d1") + 0.5) + 1 / (F.col("d0") + 0.5))
