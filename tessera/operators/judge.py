@@ -44,8 +44,17 @@ def dense_grid(spark: SparkSession, labels: Sequence[int], a: str, b: str) -> Da
     return g.select(lab[(F.col("id") / k).cast("int")].alias(a), lab[(F.col("id") % k).cast("int")].alias(b))
 
 
-def confusion_matrix(df: DataFrame, true: str, pred: str, labels: Sequence[int]) -> DataFrame:
-    """Counts per (true, pred), zeros filled on the k x k grid."""
+MAX_LABELS = 10_000
+
+
+def confusion_matrix(df: DataFrame, true: str, pred: str, labels: Sequence[int] | None = None, max_labels: int = MAX_LABELS) -> DataFrame:
+    """Counts per (true, pred), zeros filled on the k x k grid of ``labels``, by default all labels in
+    the data (more than ``max_labels`` raise). With given labels: their sub-matrix."""
+    if labels is None:
+        found = df.select(F.explode(F.array(F.col(true), F.col(pred))).alias("l")).where("l is not null").distinct()
+        labels = sorted(r["l"] for r in found.limit(max_labels + 1).collect())
+        if len(labels) > max_labels:
+            raise ValueError(f"more than {max_labels} labels")
     c = df.groupBy(F.col(true).alias("true_label"), F.col(pred).alias("pred_label")).agg(F.count(F.lit(1)).alias("n"))
     grid = dense_grid(df.sparkSession, labels, "true_label", "pred_label")
     return grid.join(c, ["true_label", "pred_label"], "left").select("true_label", "pred_label", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
@@ -127,6 +136,10 @@ def threshold_errors(df: DataFrame, label: str, score: str, digits: int = 2, by:
     by = list(by)
     s = df.select(*by, F.col(label).alias("_y"), F.col(score).cast("double").alias("_s"))
     s = s.withColumn("_t", F.bround("_s", digits))
+    # rows are counted by (rounded score, side of it) before any join: a few counts for each threshold
+    s = s.groupBy(*by, "_t", (F.col("_s") <= F.col("_t")).alias("_low")).agg(
+        F.sum((F.col("_y") == 1).cast("double")).alias("p"), F.sum((F.col("_y") != 1).cast("double")).alias("q")
+    )
     th = s.select(*by, "_t").distinct()
     if by:
         w = Window.partitionBy(*by).orderBy("_t")
@@ -135,22 +148,16 @@ def threshold_errors(df: DataFrame, label: str, score: str, digits: int = 2, by:
         nxt = global_cumsum(th.withColumn("_one", F.lit(1.0)), [F.col("_t")], ["_one"]).withColumnRenamed("_one_cum", "_r")
         th = nxt.join(nxt.select((F.col("_r") - 1).alias("_r"), F.col("_t").alias("_next")), "_r", "left").drop("_r")
     j = s.join(th, by + ["_t"])
-    j = j.withColumn("_b", F.when(F.col("_s") <= F.col("_t"), F.col("_t")).otherwise(F.col("_next")))
-    per = j.where(F.col("_b").isNotNull()).groupBy(*by, F.col("_b").alias("_t")).agg(
-        F.sum((F.col("_y") == 1).cast("double")).alias("p"), F.sum((F.col("_y") != 1).cast("double")).alias("q")
-    )
+    j = j.withColumn("_b", F.when(F.col("_low"), F.col("_t")).otherwise(F.col("_next")))
+    per = j.where(F.col("_b").isNotNull()).groupBy(*by, F.col("_b").alias("_t")).agg(F.sum("p").alias("p"), F.sum("q").alias("q"))
     per = th.select(*by, "_t").join(per, by + ["_t"], "left").fillna(0.0, ["p", "q"])
     if by:
         w = Window.partitionBy(*by).orderBy("_t").rowsBetween(Window.unboundedPreceding, 0)
         cum = per.select(*by, "_t", F.sum("p").over(w).alias("p_cum"), F.sum("q").over(w).alias("q_cum"))
     else:
         cum = global_cumsum(per, [F.col("_t")], ["p", "q"])
-    tot = s.groupBy(*by).agg(F.sum((F.col("_y") == 1).cast("double")).alias("_P"), F.sum((F.col("_y") != 1).cast("double")).alias("_N"))
-    if by:
-        out = cum.join(tot, by)
-    else:
-        t = tot.first()
-        out = cum.withColumn("_P", F.lit(float(t["_P"]))).withColumn("_N", F.lit(float(t["_N"])))
+    tot = s.groupBy(*by).agg(F.sum("p").alias("_P"), F.sum("q").alias("_N"))
+    out = cum.join(tot, by) if by else cum.join(F.broadcast(tot))  # without groups: one row
     return out.select(
         *by, F.col("_t").alias("threshold"),
         F.try_divide(F.col("p_cum"), F.col("_P")).alias("err1"),

@@ -12,8 +12,11 @@ from pyspark.sql import functions as F
 
 
 def lookup_fallback(facts: DataFrame, dim: DataFrame, key: str, found: Column, fallback: Column, out: str) -> DataFrame:
-    """Left join; ``out`` = found value, else the fallback; ``known`` flags a match."""
-    d = dim.withColumn("_hit", F.lit(True))
+    """Left join; ``out`` = found value, else the fallback; ``known`` flags a match. A key that stands
+    more than once in the dimension gives its first row in the order of all columns, once."""
+    rest = [c for c in dim.columns if c != key]
+    d = dim.groupBy(key).agg(F.min(F.struct(*rest)).alias("_first")) if rest else dim.select(key).distinct()
+    d = d.select(key, *([F.col(f"_first.{c}").alias(c) for c in rest]), F.lit(True).alias("_hit"))
     j = facts.join(d, key, "left")
     return j.select(*facts.columns, F.coalesce(found, fallback).alias(out), F.coalesce(F.col("_hit"), F.lit(False)).alias("known"))
 

@@ -252,8 +252,10 @@ def decompose_long(spark, sf):
 def filter_residual(spark, sf):
     """Keep vectors whose residual after 2 basis vectors is under the data's median residual."""
     d = _decomposed(spark, sf)
-    cut = d.agg(F.median("res_2").alias("m"))
-    return d.join(F.broadcast(cut), F.col("res_2") < F.col("m")).select("station", "yr", sig("res_2", 8).alias("res_2"))
+    # the median from a distributed rank, so no task holds all values; a scalar, so the cut is a filter
+    keyed = d.select("res_2", F.concat_ws(":", "station", "yr").alias("key"))
+    found = stats.exact_quantiles(keyed, "res_2", "key", [0.5]).first()
+    return d.where(F.col("res_2") < F.lit(found["value"] if found else None)).select("station", "yr", sig("res_2", 8).alias("res_2"))
 
 
 _RECON_K = 3

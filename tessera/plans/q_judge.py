@@ -18,8 +18,6 @@ from . import standins as S
 from .registry import register
 from .sqltext import VECS, rnd_sql
 
-LABELS = list(range(10))
-
 SCORES = f"""
 {VECS},
 means AS (SELECT label AS c, pos, avg(x) AS m FROM vlong GROUP BY 1, 2),
@@ -85,12 +83,24 @@ def topk_accuracy(spark, sf):
 @register(
     "confusion_matrix",
     f"""WITH {SCORES},
-grid AS (SELECT CAST(a.range AS INTEGER) AS true_label, CAST(b.range AS INTEGER) AS pred_label FROM range(10) a, range(10) b)
+labs AS (SELECT label AS l FROM pred UNION SELECT top1 FROM pred),
+grid AS (SELECT CAST(a.l AS INTEGER) AS true_label, CAST(b.l AS INTEGER) AS pred_label FROM labs a, labs b)
 SELECT g.true_label, g.pred_label, count(p.vec_id) AS n
 FROM grid g LEFT JOIN pred p ON p.label = g.true_label AND p.top1 = g.pred_label GROUP BY 1, 2""",
 )
 def confusion_matrix(spark, sf):
-    return judge.confusion_matrix(scored(spark, sf), "label", "top1", LABELS)
+    """Counts on the grid of all labels in the data."""
+    return judge.confusion_matrix(scored(spark, sf), "label", "top1")
+
+
+@register(
+    "confusion_submatrix",
+    f"WITH {SCORES} SELECT CAST(a.l AS INTEGER) AS true_label, CAST(b.l AS INTEGER) AS pred_label, count(p.vec_id) AS n "
+    "FROM (VALUES (3), (5), (8)) a(l) CROSS JOIN (VALUES (3), (5), (8)) b(l) LEFT JOIN pred p ON p.label = a.l AND p.top1 = b.l GROUP BY 1, 2",
+)
+def confusion_submatrix(spark, sf):
+    """A18 for chosen labels: their square of the confusion table."""
+    return judge.confusion_matrix(scored(spark, sf), "label", "top1", (3, 5, 8))
 
 
 @register(
@@ -251,7 +261,7 @@ _SEG = 8
 
 
 def votes(spark, sf):
-    """Votes: voter j uses dims [8j, 8j+8) and picks the nearest of the label-3/5/8 means there."""
+    """(vec_id, label, preds): one vote in the array for each voter; voter j uses dims [8j, 8j+8) and picks the nearest of the label-3/5/8 means there."""
     x = S.vectors(spark, sf)
     m = cluster.group_means(x.where(F.col("label").isin(*_VOTE_LABELS)), "label")
     ids, C = cluster.codebook(m, "label")
@@ -260,8 +270,8 @@ def votes(spark, sf):
         seg = F.slice("x", j * _SEG + 1, _SEG)
         d2 = [F.bround(V.sq_dist(seg, V.lit_vector(C[i, j * _SEG:(j + 1) * _SEG])), 9) for i in range(len(ids))]
         best = F.when((d2[0] <= d2[1]) & (d2[0] <= d2[2]), F.lit(int(ids[0]))).when(d2[1] <= d2[2], F.lit(int(ids[1]))).otherwise(F.lit(int(ids[2])))
-        items.append(F.struct(F.lit(j).alias("voter"), best.alias("pred")))
-    return x.select("vec_id", "label", F.explode(F.array(*items)).alias("e")).select("vec_id", "label", "e.voter", "e.pred")
+        items.append(best)
+    return x.select("vec_id", "label", F.array(*items).alias("preds"))
 
 
 _VOTES_SQL = f"""
@@ -277,10 +287,9 @@ vc AS (SELECT vec_id, any_value(label) AS label, count(*) FILTER (WHERE pred = 3
 
 
 def vote_counts_df(spark, sf):
-    v = votes(spark, sf)
-    return v.groupBy("vec_id").agg(
-        F.first("label").alias("label"), *[F.count(F.when(F.col("pred") == c, 1)).alias(f"v{c}") for c in _VOTE_LABELS]
-    )
+    v = votes(spark, sf)  # counted inside the row: no shuffle
+    count = lambda c: F.size(F.filter("preds", lambda p: p == c)).cast("long").alias(f"v{c}")
+    return v.select("vec_id", "label", *[count(c) for c in _VOTE_LABELS])
 
 
 @register("vote_counts", f"WITH {_VOTES_SQL} SELECT vec_id, label, v3, v5, v8 FROM vc")

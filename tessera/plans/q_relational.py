@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -55,8 +57,8 @@ def filter_sql_params(spark, sf):
     name = S.table(spark, sf, "nation", "n_name").agg(F.min("n_name")).first()[0]
     return spark.sql(
         "SELECT o_orderkey, o_totalprice FROM {o} JOIN {c} ON o_custkey = c_custkey "
-        "JOIN {n} ON c_nationkey = n_nationkey WHERE n_name = :name AND year(o_orderdate) = :yr",
-        args={"name": name, "yr": 1997},
+        "JOIN {n} ON c_nationkey = n_nationkey WHERE n_name = :name AND o_orderdate >= :first AND o_orderdate < :after",
+        args={"name": name, "first": datetime(1997, 1, 1), "after": datetime(1998, 1, 1)},  # a range prunes the scan, year() can't
         o=S.table(spark, sf, "orders", "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"),
         c=S.table(spark, sf, "customer", "c_custkey", "c_nationkey"),
         n=S.table(spark, sf, "nation", "n_nationkey", "n_name"),
@@ -71,7 +73,7 @@ SELECT station, yr, CAST(count(v) AS INTEGER) AS n_defined FROM series WHERE yr
 """,
 )
 def filter_year_min(spark, sf):
-    s = S.nation_year_series(spark, sf).where(F.col("yr") > 1997)
+    s = S.nation_year_series(spark, sf, since=datetime(1998, 1, 1))  # the year cut as a date range on the scan
     return s.select("station", "yr", V.n_defined("v").alias("n_defined"))
 
 

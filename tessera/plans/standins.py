@@ -17,6 +17,8 @@ tables that grow with the data.
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,8 +33,10 @@ def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     return df.select(*cols) if cols else df
 
 
-def nation_year_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+def nation_year_cells(spark: SparkSession, sf_dir: str, since: datetime | None = None) -> DataFrame:
     o = table(spark, sf_dir, "orders", "o_custkey", "o_orderdate", "o_totalprice")
+    if since is not None:
+        o = o.where(F.col("o_orderdate") >= F.lit(since).cast(o.schema["o_orderdate"].dataType))
     c = table(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
     j = o.join(c, o.o_custkey == c.c_custkey)
     return j.groupBy(
@@ -42,8 +46,8 @@ def nation_year_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).agg(F.sum("o_totalprice").cast("double").alias("v"))
 
 
-def nation_year_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return build_series(nation_year_cells(spark, sf_dir), ["station", "yr"], "pos", "v", NATION_YEAR_D)
+def nation_year_series(spark: SparkSession, sf_dir: str, since: datetime | None = None) -> DataFrame:
+    return build_series(nation_year_cells(spark, sf_dir, since), ["station", "yr"], "pos", "v", NATION_YEAR_D)
 
 
 def user_event_series(spark: SparkSession, sf_dir: str) -> DataFrame:
