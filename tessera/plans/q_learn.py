@@ -10,6 +10,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from ..functions import vec as V
+from ..functions.hashing import cut
 from ..functions.rounding import rnd
 from ..operators import decomp, learn, sample
 from . import standins as S
@@ -42,6 +43,17 @@ def gbt_margin(spark, sf):
     return learn.gbt_margins(m, f.where("split = 'test'"), ["vec_id", "label"])
 
 
+@register("gbt_early_stop")
+def gbt_early_stop(spark, sf):
+    """Rounds stop once the validation error no longer falls (``validationIndicatorCol``)."""
+    f = features(spark, sf).where("split = 'train'")
+    f = f.withColumn("validation", sample.hash_key("vec_id", 5) < cut(0.3))
+    gbt = _gbt(max_iter=100).setParams(validationIndicatorCol="validation")  # validationTol: 0.01
+    m = gbt.fit(f)
+    te = features(spark, sf).where("split = 'test'")
+    return spark.createDataFrame([(100, m.getNumTrees, learn.error_rate(m.transform(te)))], "max_rounds int, rounds int, test_error double")
+
+
 @register("gbt_learning_curve")
 def gbt_learning_curve(spark, sf):
     """Train / test log-loss per round, and the best round (least test log-loss)."""

@@ -1,5 +1,5 @@
-"""Registered queries vs their DuckDB oracle text at sf0.01 (subset by default; all with
-TESSERA_FULL_ORACLE=1), plus a rows-only smoke run of the entry point."""
+"""Registered queries vs their DuckDB oracle text: all at sf0.001 and a subset (all with
+TESSERA_FULL_ORACLE=1) at sf0.01, plus a rows-only smoke run of the entry point."""
 
 import os
 
@@ -19,27 +19,29 @@ FAST = [
 
 @pytest.fixture(scope="module")
 def con():
-    c = duckdb.connect()
-    for t in TABLES:
-        p = f"{SF_ORACLE}/{t}.parquet"
-        if os.path.exists(p):
-            c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{p}')")
-    return c
-
-
-def names():
+    """One DuckDB connection for each table folder."""
+    out = {}
+    for folder in (SF_SMALL, SF_ORACLE):
+        out[folder] = c = duckdb.connect()
+        for t in TABLES:
+            p = f"{folder}/{t}.parquet"
+            if os.path.exists(p):
+                c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{p}')")
+    return out
+
+
+def cases():
     sql = E.oracle_sql()
-    if os.environ.get("TESSERA_FULL_ORACLE") == "1":
-        return sorted(sql)
-    return [n for n in FAST if n in sql]
+    full = os.environ.get("TESSERA_FULL_ORACLE") == "1"
+    return [(n, SF_SMALL) for n in sorted(sql)] + [(n, SF_ORACLE) for n in sorted(sql) if full or n in FAST]
 
 
-@pytest.mark.parametrize("name", names())
-def test_query_matches_oracle(spark, con, name):
-    df = E.queries()[name](spark, SF_ORACLE)
+@pytest.mark.parametrize(("name", "folder"), cases())
+def test_query_matches_oracle(spark, con, name, folder):
+    df = E.queries()[name](spark, folder)
     cols = df.columns
     srows = [tuple(r) for r in df.collect()]
-    res = con.execute(E.oracle_sql()[name])
+    res = con[folder].execute(E.oracle_sql()[name])
     dcols = [d[0] for d in res.description]
     drows = res.fetchall()
     assert sorted(cols) == sorted(dcols)
