@@ -195,13 +195,29 @@ def reconstruct(coeffs: DataFrame, basis: DataFrame, keys: Sequence[str], upto:
     """w_k(pos) = mu(pos) + sum_{i<=upto} c_i u_i(pos) from long coefficient and basis tables.
 
     ``coeffs``: (keys..., k, coeff) with k 1-based; ``basis``: (k, pos, u) with k 0-based (row k-1);
-    ``mean``: (pos, mean).  The basis side is (k x d) rows: a bounded, broadcastable table.
+    ``mean``: (pos, mean).  Spark picks the joins by measured size.
     """
     c = coeffs.where(F.col("k").between(1, upto)).select(*keys, (F.col("k") - 1).alias("k"), "coeff")
-    j = c.join(F.broadcast(basis), "k")
+    j = c.join(basis, "k")
     w = j.groupBy(*keys, "pos").agg(F.sum(F.col("coeff") * F.col("u")).alias("w"))
     if mean is not None:
-        w = w.join(F.broadcast(mean.select("pos", F.col("mean").alias("_mu"))), "pos").select(
+        w = w.join(mean.select("pos", F.col("mean").alias("_mu")), "pos").select(
             *keys, "pos", (F.col("w") + F.coalesce(F.col("_mu"), F.lit(0.0))).alias("w")
         )
     return w
+
+
+def reconstruct_rows(dec: DataFrame, basis: np.ndarray, upto: int, mean: Sequence[float | None] | None = None, out: str = "w") -> DataFrame:
+    """``dec`` (one row per series, coeff_1 ..) with w_k = mu + sum_{i<=upto} c_i u_i as an array, computed
+    in the row: nothing is exploded or shuffled. ``basis`` is k x d, ``mean`` has d entries (NULL: 0)."""
+    d = basis.shape[1]
+    rows = [F.array(*[F.lit(float(x)) for x in basis[i]]) for i in range(upto)]
+    base = F.array(*[F.lit(float(x or 0.0)) for x in (mean if mean is not None else [0.0] * d)])
+
+    def at(p):
+        total = base[p]
+        for i, u in enumerate(rows):
+            total = total + F.coalesce(F.col(f"coeff_{i + 1}"), F.lit(0.0)) * u[p]
+        return total
+
+    return dec.withColumn(out, F.transform(F.sequence(F.lit(0), F.lit(d - 1)), at))

@@ -275,23 +275,48 @@ SELECT w.station, w.yr, w.pos, {sig_sql('w.w + mu.m', 8)} AS w FROM w JOIN mu ON
 """,
 )
 def reconstruct(spark, sf):
-    """M9: w_3 = mu + sum_{i<=3} c_i u_i on the Fourier basis."""
-    series = S.nation_year_series(spark, sf)
-    mean = stats.position_stats(series).select("pos", "mean")
-    dec = decomp.decompose_long(_decomposed(spark, sf), ["station", "yr"], K_FOURIER).where(F.col("k") > 0)
-    basis = decomp.fourier_basis(spark, S.NATION_YEAR_D)
-    w = decomp.reconstruct(dec, basis, ["station", "yr"], _RECON_K, mean)
+    """M9: w_3 = mu + sum_{i<=3} c_i u_i on the Fourier basis, in the row."""
+    w = _reconstructed(spark, sf).select("station", "yr", F.posexplode("w").alias("pos", "w"))
     return w.select("station", "yr", "pos", sig("w", 8).alias("w"))
 
 
+def _reconstructed(spark, sf):
+    mean = {r["pos"]: r["mean"] for r in stats.position_stats(S.nation_year_series(spark, sf)).select("pos", "mean").collect()}  # d rows
+    U = decomp.fourier_rows(S.NATION_YEAR_D)
+    return decomp.reconstruct_rows(_decomposed(spark, sf), U, _RECON_K, [mean.get(p) for p in range(S.NATION_YEAR_D)])
+
+
+@register(
+    "reconstruct_error",
+    f"""
+WITH {SERIES},
+mu AS (SELECT pos, avg(v) AS m FROM series GROUP BY pos),
+{_fourier_sql('basis0', '(SELECT CAST(range AS INTEGER) AS pos, 12 AS d FROM range(12))', 'd')},
+r0 AS (SELECT s.station, s.yr, s.pos, CASE WHEN s.v IS NULL THEN 0e0 ELSE s.v - mu.m END AS r
+       FROM series s JOIN mu ON s.pos = mu.pos),
+coef AS (SELECT station, yr, k, sum(r * u) AS c FROM r0 JOIN basis0 b ON r0.pos = b.pos WHERE k < {_RECON_K} GROUP BY 1, 2, 3),
+w AS (SELECT coef.station, coef.yr, b.pos, sum(coef.c * b.u) AS w FROM coef JOIN basis0 b ON coef.k = b.k GROUP BY 1, 2, 3)
+SELECT s.station, s.yr, {sig_sql('sqrt(sum((w.w + mu.m - s.v) * (w.w + mu.m - s.v)))', 7)} AS error
+FROM w JOIN mu ON mu.pos = w.pos JOIN series s ON s.station = w.station AND s.yr = w.yr AND s.pos = w.pos
+WHERE s.v IS NOT NULL GROUP BY 1, 2
+""",
+)
+def reconstruct_error(spark, sf):
+    """M9: the norm of w_3 - v over the defined positions of each series."""
+    series = S.nation_year_series(spark, sf)
+    both = _reconstructed(spark, sf).select("station", "yr", "w").join(series, ["station", "yr"])
+    squares = F.zip_with("w", "v", lambda w, v: F.when(v.isNotNull(), (w - v) * (w - v)).otherwise(F.lit(0.0)))
+    return both.select("station", "yr", sig(F.sqrt(F.aggregate(squares, F.lit(0.0), lambda a, x: a + x)), 7).alias("error"))
+
+
 @register("denoise")
 def denoise(spark, sf):
-    """Project the (noisy, sparse) user-event series on a 30-point Fourier basis and rebuild it."""
+    """Project the (noisy, sparse) user-event series on a 31-point Fourier basis and rebuild it."""
     series = S.user_event_series(spark, sf)
     U = decomp.fourier_rows(S.USER_EVENT_D)
     dec = decomp.decompose(series, U, None, keep=["user_id", "event_type"])
-    lg = decomp.decompose_long(dec, ["user_id", "event_type"], U.shape[0]).where(F.col("k") > 0)
-    return decomp.reconstruct(lg, decomp.fourier_basis(spark, S.USER_EVENT_D), ["user_id", "event_type"], U.shape[0])
+    w = decomp.reconstruct_rows(dec, U, U.shape[0])
+    return w.select("user_id", "event_type", F.posexplode("w").alias("pos", "w"))
 
 
 @register("decompose_pca")
