@@ -31,8 +31,15 @@ from ..functions.vec import to_double_array
 from ..session import cut_lineage
 
 
-def gram_partials(df: DataFrame, vec: str = "v", by: Sequence[str] = ()) -> DataFrame:
-    """Per task and group: upper triangle of S = X0^T X0 and N = M^T M with X0 = [1, v]."""
+#: Bytes of partial matrices a task holds before it hands them on.
+MAX_PARTIAL_BYTES = 128 << 20
+
+
+def gram_partials(df: DataFrame, vec: str = "v", by: Sequence[str] = (), max_bytes: int = MAX_PARTIAL_BYTES) -> DataFrame:
+    """Per task and group: upper triangle of S = X0^T X0 and N = M^T M with X0 = [1, v].
+
+    With many groups a task hands on what it has whenever ``max_bytes`` are reached, so a group may
+    have several partial triangles from one task; they are summed like those of other tasks."""
     by = list(by)
     src = df.select(*by, to_double_array(vec).alias("_v"))
     key_fields = [src.schema[k] for k in by]
@@ -46,8 +53,16 @@ def gram_partials(df: DataFrame, vec: str = "v", by: Sequence[str] = ()) -> Data
         ]
     )
 
+    def emit(acc):
+        for k, (S, N) in acc.items():
+            iu, ju = np.triu_indices(S.shape[0])
+            out = {name: [k[t]] * len(iu) for t, name in enumerate(by)}
+            out.update({"i": iu.astype(np.int32), "j": ju.astype(np.int32), "s": S[iu, ju], "n": np.rint(N[iu, ju]).astype(np.int64)})
+            yield pd.DataFrame(out)
+
     def fold(it):
         acc: dict = {}
+        held = 0
         for pdf in it:
             if pdf.empty:
                 continue
@@ -70,11 +85,11 @@ def gram_partials(df: DataFrame, vec: str = "v", by: Sequence[str] = ()) -> Data
                     acc[k][1] += N
                 else:
                     acc[k] = [S, N]
-        for k, (S, N) in acc.items():
-            iu, ju = np.triu_indices(S.shape[0])
-            out = {name: [k[t]] * len(iu) for t, name in enumerate(by)}
-            out.update({"i": iu.astype(np.int32), "j": ju.astype(np.int32), "s": S[iu, ju], "n": np.rint(N[iu, ju]).astype(np.int64)})
-            yield pd.DataFrame(out)
+                    held += S.nbytes + N.nbytes
+                if held >= max_bytes:
+                    yield from emit(acc)
+                    acc, held = {}, 0
+        yield from emit(acc)
 
     return src.mapInPandas(fold, schema)
 

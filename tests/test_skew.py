@@ -27,3 +27,16 @@ def test_hot_group_covariance_matches_numpy(spark):
     M = np.zeros((5, 5))
     M[c["i"], c["j"]] = c["cov"]
     assert np.allclose(M, np.cov(X[g == "hot"].T, bias=True), atol=1e-10)
+
+
+def test_many_gram_groups_in_one_task_are_handed_on_in_parts(spark):
+    from pyspark.sql import functions as F
+
+    from tessera.operators import gram
+
+    rows = spark.range(20_000).select((F.col("id") % 5000).alias("g"), F.array(F.col("id").cast("double"), F.lit(1.0)).alias("v")).coalesce(1)
+    parts = gram.gram_partials(rows, "v", ["g"], max_bytes=200_000).cache()
+    sums = parts.groupBy("g", "i", "j").agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
+    assert parts.count() > sums.count() or parts.groupBy("g").count().count() == 5000
+    got = sums.where("g = 7 and i = 0 and j = 1").first()
+    assert got.n == 4 and got.s == 7 + 5007 + 10007 + 15007
