@@ -54,7 +54,7 @@ RULES = (
     Threshold("word length", "word_chars", per="n_words", low=2, high=15),
     Threshold("symbols", "n_symbols", per="n_words", scale=10, high=1),
     Threshold("stop words", "n_stop_words", per="n_words", scale=100, low=2),
-    Threshold("duplicate lines", "n_dup_lines", per="n_lines", scale=10, high=3),
+    Threshold("duplicate lines", "n_dup_lines", per="n_lines", scale=10, high=5),
     Threshold("bullet lines", "n_bullet_lines", per="n_lines", scale=10, high=9),
     Threshold("ellipsis lines", "n_ellipsis_lines", per="n_lines", scale=10, high=3),
 )
