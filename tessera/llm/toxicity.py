@@ -69,12 +69,12 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def lexicon(train: DataFrame) -> DataFrame:
     """(word, odds): words that stand in toxic texts significantly more often than in others."""
-    sizes = train.agg(F.sum("toxic").alias("n1"), F.sum(1 - F.col("toxic")).alias("n0"))
+    n1, n0 = train.agg(F.sum("toxic"), F.sum(1 - F.col("toxic"))).first()
     words = train.select("toxic", F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}'’]+"))).alias("word")).where("word <> ''")
     counts = words.groupBy("word").agg(F.sum("toxic").alias("d1"), F.sum(1 - F.col("toxic")).alias("d0")).where(F.col("d1") >= LEAST_TEXTS)
-    odds = F.log((F.col("d1") + 0.5) / (F.col("n1") - F.col("d1") + 0.5)) - F.log((F.col("d0") + 0.5) / (F.col("n0") - F.col("d0") + 0.5))
+    odds = F.log((F.col("d1") + 0.5) / (n1 - F.col("d1") + 0.5)) - F.log((F.col("d0") + 0.5) / (n0 - F.col("d0") + 0.5))
     error = F.sqrt(1 / (F.col("d1") + 0.5) + 1 / (F.col("d0") + 0.5))
-    scored = counts.join(F.broadcast(sizes)).select("word", odds.alias("odds"), (odds / error).alias("z"))  # one row
+    scored = counts.select("word", odds.alias("odds"), (odds / error).alias("z"))
     return scored.where((F.col("odds") >= LEAST_LOG_ODDS) & (F.col("z") >= LEAST_Z)).orderBy(F.desc("z"), "word").limit(MAX_LEXICON).select("word", "odds")
 
 
