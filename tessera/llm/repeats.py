@@ -47,6 +47,8 @@ from .scratch import Scratch
 LENGTH = 100
 GRAM = 40
 CELL = 16
+#: Bytes of texts whose runs are found together.
+BUFFER = 1 << 16
 #: Rows of the first sort in a partition, about.
 ROWS_PER_TASK = 1_000_000
 #: Document keys that may be broadcast to pick texts (8 bytes each); above, a shuffle join.
@@ -101,16 +103,20 @@ def _BYTES(base: int):
     return _seeded(256, base & 0xFFFF)
 
 
-def runs(names: Names):
-    """(anchor, first window, last window) of each run of windows with one anchor."""
+def runs(names: Names, starts, sizes):
+    """(anchor, first window, last window) of each run of windows with one anchor, in a buffer of texts
+    that begin at ``starts``; windows across two texts don't count."""
     import numpy as np
 
     n = names.n
+    if n < LENGTH:
+        return (np.zeros(0, np.int64),) * 3
     grams = np.arange(n - GRAM + 1)
     h = names.name(grams, grams + GRAM, 0)
+    left = np.repeat(starts + sizes, sizes) - np.arange(n)  # bytes to the end of the text
     # the smallest of each window, leftmost on ties: sliding minima of (hash, place), doubling the width
     place = np.uint64((1 << 24) - 1)
-    out_q, out_l, out_r = [], [], []
+    out = []
     for first in range(0, n - LENGTH + 1, 1 << 23):  # places stay below 2^24
         last = min(n - LENGTH + 1, first + (1 << 23))
         part = h[first : last + LENGTH - GRAM]
@@ -122,11 +128,12 @@ def runs(names: Names):
         if width < wide:
             m = np.minimum(m[: -(wide - width)], m[wide - width :])
         q = (m & place).astype(np.int64) + first
-        cut = np.flatnonzero(np.concatenate([[True], q[1:] != q[:-1]]))
-        out_q.append(q[cut])
-        out_l.append(cut + first)
-        out_r.append(np.append(cut[1:], len(q)) - 1 + first)
-    return np.concatenate(out_q), np.concatenate(out_l), np.concatenate(out_r)
+        q[left[first:last] < LENGTH] = -1
+        edge = np.concatenate([[True], q[1:] != q[:-1], [True]])
+        begin, end = np.flatnonzero(edge[:-1]), np.flatnonzero(edge[1:])
+        on = q[begin] >= 0
+        out.append((q[begin[on]], begin[on] + first, end[on] + first))
+    return tuple(np.concatenate(x) for x in zip(*out))
 
 
 def _batch(a, b, doc, at, n, q):
@@ -152,25 +159,31 @@ def run_rows(docs: DataFrame) -> DataFrame:
     """Sort rows of step 0 from (doc, text)."""
 
     def run(batches: Iterator) -> Iterator:
+        import numpy as np
         import pyarrow as pa
 
+        def rows(docs, texts):
+            sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+            starts = np.cumsum(sizes) - sizes
+            names = Names(b"".join(texts))
+            q, first, last = runs(names, starts, sizes)
+            of = np.searchsorted(starts, first, side="right") - 1
+            a = names.name(q, q + GRAM, 0)
+            b = names.name(first, last + LENGTH, 1, (last - first) * 128 + q - first)
+            return _batch(a, b, np.array(docs, np.int64)[of], first - starts[of], last - first + 1, q - starts[of])
+
         for batch in batches:
-            parts, owner, size = [], [], 0
+            docs, texts, size = [], [], 0
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
-                if len(text) < LENGTH:
-                    continue
-                names = Names(text)
-                q, first, last = runs(names)
-                a = names.name(q, q + GRAM, 0)
-                b = names.name(first, last + LENGTH, 1, (last - first) * 128 + q - first)
-                parts.append((a, b, first, last - first + 1, q))
-                owner.append(doc)
-                size += len(q)
-                if size > 100_000:
-                    yield _collect(parts, owner)
-                    parts, owner, size = [], [], 0
-            if parts:
-                yield _collect(parts, owner)
+                if len(text) >= LENGTH:
+                    docs.append(doc)
+                    texts.append(text)
+                    size += len(text)
+                    if size >= BUFFER:  # short texts together: array calls cost more than their bytes
+                        yield rows(docs, texts)
+                        docs, texts, size = [], [], 0
+            if texts:
+                yield rows(docs, texts)
 
     return docs.select("doc", "text").mapInArrow(run, ROW)
 
