@@ -8,9 +8,11 @@ sketches merge by maxima, and equal registers are the likelier the more alike tw
 1. Equal sets are one node (their 64-bit digest); thousands of copies cost a grouped minimum.
 2. ROWS registers make a band. Nodes that agree on a band share a bucket. With 40 bands of 5, two
    sets of similarity 0.85 miss each other in all bands with probability 6e-11.
-3. A bucket of up to ``SMALL`` nodes gives all its pairs. A larger one never does: its members meet
-   a few leaders, new ones each round, until the rounds stop joining much; then only nodes
-   outside the bucket's largest component meet the nodes of other components, in bounded blocks.
+3. A bucket doesn't give all its pairs. First every node meets one or two leaders, the earliest
+   document among them, and links are closed to components. Then only nodes of different components
+   meet: in buckets of up to ``SMALL`` nodes as pairs, in larger ones in bounded blocks, where nodes
+   outside the bucket's largest component meet the others. While that would be too much work, more
+   leader rounds with drawn leaders go first.
 4. A pair's similarity is estimated jointly from both sketches by maximum likelihood, given the
    exact set sizes; pairs for which the contract's threshold is unlikely by more than
    ``SIGMAS`` standard deviations go no further. The others are verified on the full sets.
@@ -24,7 +26,7 @@ an empty table gives an empty result. Hash equality stands for shingle equality:
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,10 +42,12 @@ REGISTERS = BANDS * ROWS
 BASE, TOP, RATE = 1.001, 65535, 20.0
 #: Buckets of at most so many nodes give all pairs.
 SMALL = 24
-#: Leader rounds go on while they join at least this share of the nodes still apart.
-WORTH = 0.1
+#: Comparisons left to the exhaustive step; above, leader rounds go on while each takes off at least
+#: the share WORTH of them.
+REST_WORK = 50_000_000
+WORTH = 0.2
 #: Side of a block of the last, exhaustive step.
-BLOCK = 512
+BLOCK = 256
 SIGMAS = 6.0
 #: Ids that may be broadcast to pick texts for verification (8 bytes each); above, a shuffle join.
 MAX_BROADCAST_IDS = 1_000_000
@@ -253,6 +257,17 @@ def full_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return texts.select("node", "text").mapInArrow(run, "node bigint, set binary").dropDuplicates(["node"])
 
 
+def similar(x, y) -> bool:
+    """The contract's rule on two sorted arrays of distinct hashes."""
+    import numpy as np
+
+    if len(x) > len(y):
+        x, y = y, x
+    at = np.minimum(np.searchsorted(y, x), len(y) - 1)
+    common = int((y[at] == x).sum())
+    return SIMILAR[1] * common >= SIMILAR[0] * (len(x) + len(y) - common)
+
+
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The (a, b) with 100 * intersection >= 85 * union on the full sets."""
 
@@ -261,14 +276,8 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         import pyarrow as pa
 
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                if len(x) > len(y):
-                    x, y = y, x
-                at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                common = int((y[at] == x).sum())
-                keep.append(SIMILAR[1] * common >= SIMILAR[0] * (len(x) + len(y) - common))
+            sets = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
+            keep = [similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) for x, y in sets]
             yield batch.filter(pa.array(keep, pa.bool_())).select([0, 1])
 
     side = lambda x: sets.select(F.col("node").alias(x), F.col("set").alias(f"s{x}"))
@@ -277,32 +286,62 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def leader_pairs(buckets: DataFrame, round_no: int) -> DataFrame:
-    """Members of buckets that hold several components, each with the bucket's leaders of this round:
-    the first by node of the component with the most members, and one drawn by hash."""
+    """Pairs of bucket members with leaders of other components; ``buckets``: (key, node, first, comp).
+
+    Round 0: a node meets, of all its buckets' earliest documents, the earliest (copies mostly are
+    copies of it), and one node drawn by hash. Later rounds: nodes outside a bucket's largest
+    component meet a drawn member of that component and a drawn member of the bucket.
+    """
     draw = F.xxhash64("node", "key", F.lit(round_no))
-    by_comp = buckets.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct(draw.alias("d"), F.col("node"))).alias("m"))
+    by_comp = buckets.groupBy("key", "comp").agg(
+        F.count(F.lit(1)).alias("c"), F.min(F.struct("first", "node")).alias("early"), F.min(F.struct(draw.alias("d"), F.col("node"))).alias("drawn")
+    )
     lead = by_comp.groupBy("key").agg(
         F.count(F.lit(1)).alias("comps"),
-        F.max_by("m.node", F.struct("c", "m.d")).alias("main"),
-        F.max_by("comp", F.struct("c", "m.d")).alias("main_comp"),
-        F.min("m").getField("node").alias("any"),
+        F.min("early").alias("early"),
+        F.min_by(F.struct("comp", F.col("drawn.node").alias("node")), F.struct(-F.col("c"), "drawn")).alias("main"),
+        F.min_by(F.struct("comp", F.col("drawn.node").alias("node")), "drawn").alias("any"),
     )
     met = buckets.join(lead.where("comps > 1"), "key")
-    pairs = met.select("node", "comp", F.explode(F.array("main", "any")).alias("lead")).where("node <> lead")
+    if round_no == 0:
+        each = met.groupBy("node").agg(F.min("early").getField("node").alias("x"), F.min_by("any.node", F.xxhash64("any.node")).alias("y"))
+        pairs = each.select("node", F.explode(F.array("x", "y")).alias("lead")).where("node <> lead")
+    else:
+        outside = met.where(F.col("comp") != F.col("main.comp")).select("node", "comp", F.explode(F.array("main", "any")).alias("l"))
+        pairs = outside.where(F.col("comp") != F.col("l.comp")).select("node", F.col("l.node").alias("lead"))
     return pairs.select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")).distinct()
 
 
-def rest_pairs(buckets: DataFrame, sigs: DataFrame) -> DataFrame:
-    """Likely pairs between components that still share a large bucket. Nodes outside the bucket's
-    largest component meet all nodes of other components, block by block; a pair is looked at in
-    its first common band only."""
+def small_pairs(buckets: DataFrame) -> DataFrame:
+    """All pairs of different components within the buckets of up to SMALL nodes."""
+    lists = buckets.where(F.col("size") <= SMALL).groupBy("key").agg(F.collect_list(F.struct("node", "comp")).alias("m"))
+    lists = lists.where(F.size(F.array_distinct("m.comp")) > 1)
+    one = lists.select("m", F.explode("m").alias("x"))
+    other = F.filter("m", lambda y: (y["node"] > F.col("x.node")) & (y["comp"] != F.col("x.comp")))
+    return one.select(F.col("x.node").alias("a"), F.explode(F.transform(other, lambda y: y["node"])).alias("b")).distinct()
+
+
+def apart(members: DataFrame) -> int:
+    """Comparisons that the exhaustive step would make: nodes outside a large bucket's main component
+    times its nodes."""
+    by_comp = members.where(F.col("size") > SMALL).groupBy("key", "size", "comp").agg(F.count(F.lit(1)).alias("c"))
+    each = by_comp.groupBy("key", "size").agg(F.max("c").alias("most"))
+    return each.agg(F.coalesce(F.sum((F.col("size") - F.col("most")) * F.col("size")), F.lit(0))).first()[0]
+
+
+def rest_links(buckets: DataFrame, sigs: DataFrame, sets_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Verified links (a, b) between components that still share a large bucket. Nodes outside the
+    bucket's largest component meet all nodes of other components, block by block; a pair is looked at
+    in its first common band only. A block verifies in itself, the likeliest pairs of a node first, and
+    gives one link for each node and component it reaches, so pairs never become rows."""
+    buckets = buckets.select("key", "node", "comp")
     by_comp = buckets.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"))
     main = by_comp.groupBy("key").agg(F.count(F.lit(1)).alias("comps"), F.sum("c").alias("size"), F.max("c").alias("most"), F.max_by("comp", F.struct("c", "comp")).alias("main"))
     met = buckets.join(main.where("comps > 1"), "key")
     blocks_in = F.ceil(F.col("size") / BLOCK)
     blocks_out = F.ceil((F.col("size") - F.col("most")) / BLOCK)
     spot = lambda n, salt: F.pmod(F.xxhash64("node", F.lit(salt)), n).cast("int")
-    rows = sigs.select("node", "regs", "n", "bands")
+    rows = sigs.select("node", "regs", "n", "bands").join(sets_of(met.select("node").distinct()), "node")
     inside = met.select("key", "node", "comp", spot(blocks_in, 1).alias("i"), F.explode(F.sequence(F.lit(0), (blocks_out - 1).cast("int"))).alias("j"))
     outside = met.where("comp <> main").select("key", "node", "comp", spot(blocks_out, 2).alias("j"), F.explode(F.sequence(F.lit(0), (blocks_in - 1).cast("int"))).alias("i"))
     inside, outside = inside.join(rows, "node"), outside.join(rows, "node")
@@ -318,15 +357,23 @@ def rest_pairs(buckets: DataFrame, sigs: DataFrame) -> DataFrame:
         ra, rb = unpack(left), unpack(right)
         ba, bb = np.stack(left["bands"].to_numpy()), np.stack(right["bands"].to_numpy())
         na, nb = left["n"].to_numpy(float), right["n"].to_numpy(float)
-        a, b, out = left["node"].to_numpy(), right["node"].to_numpy(), []
+        a, b, out = left["node"].tolist(), right["node"].tolist(), []
+        other = right["comp"].to_numpy()
+        sets = [np.frombuffer(x, np.uint64) for x in right["set"]]
         bound = SIMILAR[0] / SIMILAR[1]
-        for k in range(len(left)):
+        for k, own in enumerate(left["comp"].tolist()):
             same = bb == ba[k]
             first = np.where(same.any(1), bb[np.arange(len(bb)), same.argmax(1)], 0) == key[0]
-            on = np.flatnonzero(first & (right["comp"].to_numpy() != left["comp"].iloc[k]) & (na[k] >= bound * nb) & (nb >= bound * na[k]))
-            if len(on):
-                on = on[~unlikely(np.repeat(ra[k : k + 1], len(on), 0), rb[on], np.full(len(on), na[k]), nb[on])]
-                out += [(min(a[k], x), max(a[k], x)) for x in b[on].tolist()]
+            on = np.flatnonzero(first & (other != own) & (na[k] >= bound * nb) & (nb >= bound * na[k]))
+            if not len(on):
+                continue
+            on = on[~unlikely(np.repeat(ra[k : k + 1], len(on), 0), rb[on], np.full(len(on), na[k]), nb[on])]
+            on = on[np.argsort(-(rb[on] == ra[k]).sum(1), kind="stable")]
+            x, reached = np.frombuffer(left["set"].iloc[k], np.uint64), set()
+            for j in on.tolist():
+                if other[j] not in reached and similar(x, sets[j]):
+                    reached.add(other[j])
+                    out.append((min(a[k], b[j]), max(a[k], b[j])))
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
     blocks = outside.groupBy("key", "i", "j").cogroup(inside.groupBy("key", "i", "j"))
@@ -338,45 +385,44 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     scratch = Scratch(spark, "near-dups")
     per_doc = scratch.write(sketches(docs))
-    first = per_doc.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("first_doc"))
+    first = scratch.write(per_doc.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("first_doc")))
     sigs = scratch.write(per_doc.where("node is not null").select("node", "n", "bands", "regs").dropDuplicates(["node"]))
 
-    entries = sigs.select("node", F.explode("bands").alias("key"))
+    entries = sigs.join(first.withColumnRenamed("first_doc", "first"), "node").select("node", "first", F.explode("bands").alias("key"))
     shared = entries.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     buckets = scratch.write(entries.join(shared, "key"))
-    lists = buckets.where(F.col("size") <= SMALL).groupBy("key").agg(F.collect_list("node").alias("nodes"))
-    pairs = lists.select("nodes", F.explode("nodes").alias("a")).select("a", F.explode(F.filter("nodes", lambda x: x > F.col("a"))).alias("b")).distinct()
-    large = buckets.where(F.col("size") > SMALL).select("key", "node")
-
-    # the first round has the small buckets' pairs and the leaders of the large ones
-    pairs = pairs.union(leader_pairs(large.withColumn("comp", F.col("node")), 0)).distinct()
-    likely = scratch.write(likely_pairs(pairs, sigs))
-    needed = likely.select("a").union(likely.select("b")).union(large.select("node")).distinct().withColumnRenamed("a", "node")
-    sets = scratch.write(full_sets(docs, needed.join(first, "node")))
-    links = scratch.write(verified(likely, sets))
-    comps = components(links, scratch)
 
-    def with_comps(comps):
-        found = large.join(comps, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))
-        return scratch.write(found)
-
-    def apart(placed) -> int:
-        """Components that share large buckets with others."""
-        by = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
-        return placed.join(by, "key").select("comp").distinct().count()
-
-    if large.limit(1).count():
-        round_no, placed = 1, with_comps(comps)
-        before, still = 0, apart(placed)
-        while still and (round_no == 1 or before - still >= WORTH * before):
-            likely = likely_pairs(leader_pairs(placed, round_no), sigs)
-            links = scratch.write(links.union(verified(likely, sets)))
-            comps = components(links, scratch)
-            round_no, before, placed = round_no + 1, still, with_comps(comps)
-            still = apart(placed)
-        if still:
-            links = scratch.write(links.union(verified(rest_pairs(placed, sigs), sets)))
-            comps = components(links, scratch)
+    def sets_of(nodes: DataFrame) -> DataFrame:
+        return scratch.write(full_sets(docs, nodes.join(first, "node")))
+
+    def confirmed(likely: DataFrame) -> DataFrame:
+        likely = scratch.write(likely)
+        return verified(likely, sets_of(likely.select(F.explode(F.array("a", "b")).alias("node")).distinct()))
+
+    def placed(comps: DataFrame) -> DataFrame:
+        found = buckets.join(comps, "node", "left")
+        return scratch.write(found.select("key", "node", "first", "size", F.coalesce("comp", "node").alias("comp")))
+
+    # round 0: every node meets a leader or two
+    links = scratch.write(confirmed(likely_pairs(leader_pairs(buckets.withColumn("comp", F.col("node")), 0), sigs)))
+    comps = components(links, scratch)
+    members = placed(comps)
+
+    # more rounds, while too many nodes of large buckets are apart and the rounds help
+    round_no, before, work = 1, 0, apart(members)
+    while work > REST_WORK and (round_no == 1 or work < (1 - WORTH) * before):
+        again = leader_pairs(members.where(F.col("size") > SMALL), round_no)
+        links = scratch.write(links.union(confirmed(likely_pairs(again, sigs))))
+        comps = components(links, scratch)
+        round_no, before, members = round_no + 1, work, placed(comps)
+        work = apart(members)
+
+    # the rest: all pairs between components, in small buckets as rows, in large ones in blocks
+    more = confirmed(likely_pairs(small_pairs(members), sigs))
+    if work:
+        more = more.union(rest_links(members.where(F.col("size") > SMALL), sigs, sets_of))
+    links = scratch.write(links.union(more))
+    comps = components(links, scratch)
 
     named = first.join(comps, "node", "left").select("node", "first_doc", F.coalesce("comp", "node").alias("comp"))
     smallest = named.groupBy("comp").agg(F.min("first_doc").alias("component_id"))

@@ -55,6 +55,7 @@ def family(rng):
 def test_components_equal_brute_force(spark, family, monkeypatch, small):
     monkeypatch.setattr(near_dups, "SMALL", small)
     monkeypatch.setattr(near_dups, "BLOCK", 32)
+    monkeypatch.setattr(near_dups, "REST_WORK", 50_000_000 if small == 24 else 1000)  # with and without more leader rounds
     if small == 3:
         monkeypatch.setattr(near_dups, "MAX_BROADCAST_IDS", 0)
     docs = spark.createDataFrame(family, "doc_id bigint, text string").repartition(3)
