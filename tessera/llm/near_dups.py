@@ -187,8 +187,8 @@ def unlikely(regs_a, regs_b, n_a, n_b):
 
 
 # -- the steps -------------------------------------------------------------------------------------------
-def sketches(docs: DataFrame) -> DataFrame:
-    """(doc_id, n, node, bands, regs): node and the rest are null for an empty set."""
+def sketches(docs: DataFrame, *more: str) -> DataFrame:
+    """(doc_id, n, node, bands, regs, more columns of docs): node, bands and regs are null for an empty set."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -204,14 +204,15 @@ def sketches(docs: DataFrame) -> DataFrame:
                     node.append(digest(s) if len(s) else None)
                     bands.append(None if r is None else band_keys(r))
                     regs.append(None if r is None else r.tobytes())
+            made = [pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(bands, pa.list_(pa.int64())), pa.array(regs, pa.binary())]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(bands, pa.list_(pa.int64())), pa.array(regs, pa.binary())],
-                names=["doc_id", "n", "node", "bands", "regs"],
+                [batch.column(0), *made, *batch.columns[2:]], names=["doc_id", "n", "node", "bands", "regs", *more]
             )
 
-    src = docs.select("doc_id", text_of().alias("text"))
-    kind = src.schema[0].dataType.simpleString()
-    return src.mapInArrow(run, f"doc_id {kind}, n bigint, node bigint, bands array<bigint>, regs binary")
+    src = docs.select("doc_id", text_of().alias("text"), *more)
+    kind, _, *kinds = (f.dataType.simpleString() for f in src.schema)
+    passed = "".join(f", `{c}` {k}" for c, k in zip(more, kinds))
+    return src.mapInArrow(run, f"doc_id {kind}, n bigint, node bigint, bands array<bigint>, regs binary{passed}")
 
 
 def likely_pairs(pairs: DataFrame, sigs: DataFrame) -> DataFrame:
@@ -380,11 +381,12 @@ def rest_links(buckets: DataFrame, sigs: DataFrame, sets_of: Callable[[DataFrame
     return blocks.applyInPandas(meet, "a bigint, b bigint").distinct()
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for every row of ``docs``."""
+def labelled(docs: DataFrame, *extra: str) -> DataFrame:
+    """(doc_id, n_shingles, comp, component_id, more columns of docs) for every row of ``docs``: comp
+    names the component even where its ids are null; it and component_id are null for an empty set."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "near-dups")
-    per_doc = scratch.write(sketches(docs))
+    per_doc = scratch.write(sketches(docs, *extra))
     first = scratch.write(per_doc.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("first_doc")))
     sigs = scratch.write(per_doc.where("node is not null").select("node", "n", "bands", "regs").dropDuplicates(["node"]))
 
@@ -426,18 +428,41 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     named = first.join(comps, "node", "left").select("node", "first_doc", F.coalesce("comp", "node").alias("comp"))
     smallest = named.groupBy("comp").agg(F.min("first_doc").alias("component_id"))
-    named = named.join(smallest, "comp").select("node", "component_id")
-    out = per_doc.select("doc_id", F.col("n").alias("n_shingles"), "node").join(named, "node", "left")
-    component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    named = named.join(smallest, "comp").select("node", "comp", "component_id")
+    out = per_doc.select("doc_id", F.col("n").alias("n_shingles"), "node", *extra).join(named, "node", "left")
+    return out.select("doc_id", "n_shingles", "comp", "component_id", *extra)
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) for every row of ``docs``."""
+    component = F.when(F.col("comp").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    return labelled(docs).select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One row of each group of near-duplicates, columns unchanged: that of the smallest id (of equal
-    rows with that id, one)."""
-    keep = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("keep_id")).distinct()
-    rows = docs.select(F.struct("*").alias("row"))
-    return rows.join(keep, F.col("row.doc_id").eqNullSafe(F.col("keep_id")), "left_semi").select("row.*")
+    """One row of each group of near-duplicates, columns unchanged: that of the smallest id, null ids
+    last; of different texts with that id, or with null ids only, that of the smallest digest. Rows
+    without words are linked with nothing: of those only equal rows are reduced to one.
+
+    A row is known by the digest of its id and text (and, without words, of its other columns); rows
+    alike in that give one, by the order of their other columns. They are reduced where they are
+    read, before the shuffle, so a row repeated any number of times doesn't fill a task.
+    """
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    rest = F.to_json(F.struct(*others)) if others else F.lit("")
+    doc_id = F.col("doc_id").cast("string")
+    known = F.concat(
+        F.coalesce(F.concat(F.length(doc_id).cast("string"), F.lit(":"), doc_id), F.lit("-")),
+        F.coalesce(F.concat(F.lit("="), "text"), F.lit("-")),
+        F.when(text_of().rlike(r"[^\x20\x09-\x0D]"), F.lit("")).otherwise(F.concat(F.lit("="), rest)),
+    )
+    key = F.unhex(F.sha2(known, 256)).alias("key")
+    found = labelled(docs.select("doc_id", "text", key), "key")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key")).getField("key")
+    keep = found.where("comp is not null").groupBy("comp").agg(first.alias("key")).select("key")
+    keep = keep.union(found.where("comp is null").select("key"))
+    rows = docs.select(key, F.struct("*").alias("row"), rest.alias("rest")).groupBy("key").agg(F.min_by("row", "rest").alias("row"))
+    return rows.join(keep, "key", "left_semi").select("row.*")
 
 
 def op10_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -92,3 +92,31 @@ def test_edge_cases(odd_docs, no_docs, odd_texts):
     assert all((r.n_shingles, r.component_id, r.kept) == want[r.doc_id] for r in rows if r.doc_id is not None)
     kept = near_dups.keep_one(odd_docs)
     assert kept.columns == odd_docs.columns and near_dups.keep_one(no_docs).count() == 0
+
+
+def test_keep_one_rows(spark, odd_docs, odd_texts):
+    """Exactly one row of each group, whatever its ids are."""
+    rows = [tuple(r) for r in near_dups.keep_one(odd_docs).collect()]
+    want = {i for i, (_, _, stays) in brute(enumerate(odd_texts)).items() if stays}
+    assert sorted(r[0] for r in rows if r[0] is not None) == sorted(want)
+    assert [r[1] for r in rows if r[0] is None] == ["no id"]
+
+    long = [" ".join(f"{c}{i}" for i in range(80)) for c in "abcde"]
+    near = [f"{t} end" for t in long]
+    docs = [
+        (1, long[0], "x"), (1, long[0], "x"), (1, long[0], "y"), (2, near[0], "x"),  # a source loaded twice
+        (3, long[1], "x"), (3, near[1], "x"), (3, long[2], "x"),  # one id: two near copies and another text
+        (0, near[3], "x"), (5, long[3], "x"), (5, "a text of its own", "x"),  # kept for its other text only
+        (None, long[4], "x"), (None, near[4], "x"), (None, long[4], "x"),  # all ids null
+        (None, near[0], "x"), (None, long[3], "x"),  # null ids, near copies of texts with ids
+        (7, " ", "x"), (7, " ", "x"), (7, " ", "y"), (None, None, "x"), (None, None, "x"), (None, "", "x"),  # no words
+    ]
+    kept = [tuple(r) for r in near_dups.keep_one(spark.createDataFrame(docs, "doc_id bigint, text string, source string").repartition(4)).collect()]
+    sure = [(1, long[0], "x"), (3, long[2], "x"), (0, near[3], "x"), (5, "a text of its own", "x"), (7, " ", "x"), (7, " ", "y"), (None, None, "x"), (None, "", "x")]
+    left = list(kept)
+    for r in sure:
+        left.remove(r)
+    assert sorted((r[0] or 0) for r in left) == [0, 3]
+    assert {r[1] for r in left if r[0] == 3} < {long[1], near[1]} and {r[1] for r in left if r[0] is None} < {long[4], near[4]}
+    again = near_dups.keep_one(spark.createDataFrame(docs[::-1], "doc_id bigint, text string, source string").repartition(2)).collect()
+    assert sorted(map(repr, kept)) == sorted(repr(tuple(r)) for r in again)
