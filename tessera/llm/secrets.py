@@ -8,6 +8,9 @@ match, the rule's own small automaton finds the longest match; failing matches a
 retried. Many stretches of the byte stream are stepped together as array lanes; a lane that was
 begun in a wrong state is stepped again until its states agree.
 
+A pem span is the BEGIN line in the query, as in its SQL; with ``whole_keys``, as for ``redact``, it
+runs to the end of the key's END line.
+
 Edge cases: null text is the empty text and has no spans; offsets are code points, end exclusive;
 rows are handled one by one, so repeated rows repeat their result; columns other than the key and
 the text are ignored; an empty table gives an empty result.
@@ -15,6 +18,7 @@ the text are ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -52,6 +56,16 @@ RULES = (
     Rule("bearer", r"[Bb]earer\x20+[A-Za-z0-9._~+/-]+", 27),
 )
 BASE_KINDS = ("assign", "access", "hex")
+_MARKS = rb"[\x20\t\"',;+/>#*|(){}\[\]]"
+_GAP = rb"(?:" + _MARKS + rb"|[\r\n]|\\+[nrt])*+"
+_LINE_GAP = rb"(?=" + _MARKS + rb"*+(?:[\r\n]|\\+[nr]))" + _GAP
+#: What follows a pem header up to and including its END line: "Name: value" lines, then lines of base64.
+#: Line ends may be written "\n", lines quoted or indented; lines of 40 characters may be joined by blanks.
+KEY_BODY = re.compile(
+    _GAP + rb"(?:[A-Za-z][A-Za-z-]*+:[ \t][^\r\n\\]*+" + _LINE_GAP + rb")*+"
+    rb"(?:(?:[A-Za-z0-9+/=]|\\/)++(?:" + _LINE_GAP + rb"|(?<=[A-Za-z0-9+/=]{40})[ \t]++))*+"
+    rb"(?:[A-Za-z0-9+/=]|\\/)*+" + _GAP + rb"-----END [A-Z ]*PRIVATE KEY-----"
+)
 
 
 # -- regular expression -> tree ----------------------------------------------------------------------
@@ -307,8 +321,12 @@ def run_lanes(dfa: Dfa, data, lanes: int = 2048):
 
 
 class Scanner:
-    def __init__(self, rules: tuple[Rule, ...]):
+    """``whole_keys``: a pem span runs on over the key's body to the end of its END line; where none
+    follows, it is the header only, as it always is without ``whole_keys``."""
+
+    def __init__(self, rules: tuple[Rule, ...], whole_keys: bool = False):
         self.rules = rules
+        self.whole = [whole_keys and r.kind == "pem" for r in rules]
         trees = [parse(r.scan) for r in rules]
         self.back = compile_rules([reverse(t) for t in trees], search=True)
         self.ahead = [self._plain(compile_rules([t], search=False)) for t in trees]
@@ -366,6 +384,8 @@ class Scanner:
             for k in range(len(self.rules)):
                 if mask >> k & 1 and at >= done.get((d, k), 0):
                     end = self.longest(k, texts[d], at)
+                    if self.whole[k] and (body := KEY_BODY.match(texts[d], end)):
+                        end = body.end()
                     done[d, k] = end
                     if self.passes(k, texts[d][at:end]):
                         found[d].append((at, k, end))
@@ -378,9 +398,9 @@ SPAN_TYPE = "array<struct<kind:string,start:bigint,end:bigint>>"
 PIECE_BYTES = 4_000_000
 
 
-def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, key: str = "doc_id", text: str = "text") -> DataFrame:
+def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, key: str = "doc_id", text: str = "text", whole_keys: bool = False) -> DataFrame:
     """(key, spans): spans sorted by start, then by the order of the rules."""
-    scanner = Scanner(rules)
+    scanner = Scanner(rules, whole_keys)
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -417,8 +437,9 @@ def digest(found: DataFrame) -> DataFrame:
 
 def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with every found span of ``text`` replaced by ``mark`` (overlapping spans by one) and
-    ``n_chars`` counted anew; null texts stay null, other columns pass."""
-    scanner = Scanner(rules)
+    ``n_chars`` counted anew; a private key goes as a whole, from its BEGIN to its END line; null texts
+    stay null, other columns pass."""
+    scanner = Scanner(rules, whole_keys=True)
 
     def run(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for part in texts:
