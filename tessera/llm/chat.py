@@ -5,9 +5,11 @@ For every participant of a conversation the dialogue is rendered once with that
 spans of the rendered text. System turns are context in every perspective and no participant.
 
 A conversation is rendered in blocks of ``TURNS`` turn numbers, so no task ever gathers a whole long
-conversation: usually a block is the whole dialogue. A block whose rows exceed ``MAX_ROWS`` (many
-rows with one turn number) is split by turn and then by hash. Blocks in the order of (at_turn, part)
-make up the dialogue. Participants are joined to the finished blocks, so a turn's text is shuffled
+conversation: usually a block is the whole dialogue. A block's rows are cut into parts of ``MAX_ROWS``
+by their rank in (turn, role, text); at_turn is the block's first turn number (-64 with null turns),
+part counts from 0. Blocks in the order of (at_turn, part) make up the dialogue. The SQL renders a
+block in one piece, as part 0: where a block has more than ``MAX_ROWS`` rows, its text is that of the
+parts joined. Participants are joined to the finished blocks, so a turn's text is shuffled
 once; only built-in functions are used.
 
 Edge cases: rows that repeat in all four columns are one turn; rows that tie in (conv_id, turn) follow
@@ -22,33 +24,53 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.ordered import global_row_number
 from .common import table
 
 TURNS = 64
 MAX_ROWS = 256
+#: Keys over which the rows of a crowded block are dealt when they are picked.
+SALTS = 32
 SYSTEM = "system"
 
 
+def matched(rows: DataFrame, crowded: DataFrame, how: str) -> DataFrame:
+    """Semi or anti join of ``rows`` by the blocks in ``crowded``, SALTS keys for each."""
+    keys = crowded.select(F.col("conv_id").alias("k_conv"), F.col("chunk").alias("k_chunk"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("k_salt"))
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("turn", "role", "text"), F.lit(SALTS)))
+    on = F.col("conv_id").eqNullSafe(F.col("k_conv")) & (F.col("chunk") == F.col("k_chunk")) & (F.col("salt") == F.col("k_salt"))
+    return salted.join(keys, on, how).drop("salt")
+
+
+def ranked(rows: DataFrame, crowded: DataFrame) -> DataFrame:
+    """``rows`` of the blocks in ``crowded`` (conv_id, chunk), with their part: MAX_ROWS rows each, by
+    the rank within the block. No step gathers a block: rows are picked by salted keys, ranked over
+    ranges, and meet their block's first rank in stretches of MAX_ROWS rows."""
+    order = [F.col(c) for c in ("conv_id", "chunk", "turn", "role", "text")]
+    hot = global_row_number(matched(rows, crowded, "left_semi"), order).withColumn("stretch", F.floor(F.col("rn") / MAX_ROWS))
+    pieces = hot.groupBy("conv_id", "chunk", "stretch").agg(F.min("rn").alias("low"))
+    first = pieces.groupBy(F.col("conv_id").alias("k_conv"), F.col("chunk").alias("k_chunk")).agg(F.min("low").alias("first"))
+    pieces = pieces.join(first, F.col("conv_id").eqNullSafe(F.col("k_conv")) & (F.col("chunk") == F.col("k_chunk")))
+    pieces = pieces.select("k_conv", "k_chunk", F.col("stretch").alias("k_stretch"), "first")
+    hot = hot.join(pieces, F.col("conv_id").eqNullSafe(F.col("k_conv")) & (F.col("chunk") == F.col("k_chunk")) & (F.col("stretch") == F.col("k_stretch")))
+    return hot.select(*order, F.floor((F.col("rn") - F.col("first")) / MAX_ROWS).alias("part"))
+
+
 def blocks(turns: DataFrame) -> DataFrame:
-    """(conv_id, chunk, at, part, lines array<struct<turn,role,text>>): at most MAX_ROWS lines, or so
-    many as hash alike in one turn."""
+    """(conv_id, chunk, part, lines array<struct<turn,role,text>>): at most MAX_ROWS lines."""
+    chunk = F.coalesce(F.floor(F.col("turn") / TURNS), F.lit(-1)).cast("bigint").alias("chunk")
     rows = turns.select(
         "conv_id", "turn",
         F.coalesce("role", F.lit("unknown")).alias("role"),
         F.replace(F.coalesce("text", F.lit("")), F.lit("<|"), F.lit("< |")).alias("text"),
-        F.coalesce(F.floor(F.col("turn") / TURNS), F.lit(-1)).cast("bigint").alias("chunk"),
+        chunk,
     ).distinct()
-    per_turn = rows.groupBy("conv_id", "chunk", "turn").agg(F.count(F.lit(1)).alias("c"))
-    crowded = per_turn.groupBy("conv_id", "chunk").agg(F.sum("c").alias("n")).where(F.col("n") > MAX_ROWS)
-    split = per_turn.join(crowded.select(F.col("conv_id").alias("k_conv"), F.col("chunk").alias("k_chunk")),
-                          F.col("conv_id").eqNullSafe(F.col("k_conv")) & (F.col("chunk") == F.col("k_chunk")), "left_semi")
-    split = split.select(F.col("conv_id").alias("s_conv"), F.col("turn").alias("s_turn"), F.ceil(F.col("c") / MAX_ROWS).alias("parts"))
-    rows = rows.join(split, F.col("conv_id").eqNullSafe(F.col("s_conv")) & F.col("turn").eqNullSafe(F.col("s_turn")), "left")
-    rows = rows.withColumns({
-        "at": F.when(F.col("parts").isNotNull(), F.coalesce(F.col("turn").cast("bigint"), F.lit(-1))),
-        "part": F.when(F.col("parts").isNotNull(), F.pmod(F.xxhash64("role", "text"), F.col("parts"))).otherwise(F.lit(0)).cast("bigint"),
-    })
-    return rows.groupBy("conv_id", "chunk", "at", "part").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("lines"))
+    # repeated rows count here, so some of these blocks may turn out to have one part, as all others have
+    crowded = turns.groupBy("conv_id", chunk).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > MAX_ROWS).select("conv_id", "chunk")
+    whole = rows.withColumn("part", F.lit(0).cast("bigint"))
+    if not crowded.isEmpty():
+        whole = matched(whole, crowded, "left_anti").unionByName(ranked(rows, crowded))
+    return whole.groupBy("conv_id", "chunk", "part").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("lines"))
 
 
 def rotate(turns: DataFrame) -> DataFrame:
@@ -73,7 +95,7 @@ def rotate(turns: DataFrame) -> DataFrame:
         return F.struct((end + len(tail)).alias("at"), spans.alias("spans"))
 
     return rows.select(
-        "conv_id", "speaker", F.coalesce("at", F.col("chunk") * TURNS).alias("at_turn"), "part",
+        "conv_id", "speaker", (F.col("chunk") * TURNS).alias("at_turn"), "part",
         F.size("lines").cast("long").alias("n_turns"),
         F.size(F.filter("pieces", lambda x: x["own"])).cast("long").alias("n_own"),
         F.array_join(F.transform("pieces", lambda x: F.concat(x["head"], x["text"], F.lit(tail))), "").alias("text"),

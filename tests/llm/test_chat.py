@@ -52,5 +52,21 @@ def test_crowded_turn_is_split_and_whole(spark):
     assert last.n_own == 1 and last.text.endswith("end<|im_end|>\n")
 
 
+def test_crowded_blocks_in_order(spark, rng):
+    """One rule at every size: parts of MAX_ROWS rows in the order of turn, role and text."""
+    turns = [(1, rng.choice([0, 1, 1, 1, 70]), rng.choice(["ann", "bob", "system", None]), f"t {rng.random()}", 0, "") for _ in range(1500)]
+    turns += [(None, None, "ann", f"n {i}", 0, "") for i in range(600)] + [(None, 3, "bob", "<|end", 0, "")]
+    turns += [(2, 5, "ann", "repeated", 0, "")] * 400 + [(2, 6, "bob", "few", 0, ""), (3, -2, "ann", "early", 0, "")]
+    df = spark.createDataFrame(turns, KINDS).repartition(5)
+    assert joined(chat.rotate(df)) == brute(turns)
+    blocks = {}
+    for r in chat.rotate(df).collect():
+        blocks.setdefault((r.conv_id, r.speaker, r.at_turn), {})[r.part] = r.n_turns
+    assert {k[2] for k in blocks} == {0, 64, -64} and (2, "ann", 0) in blocks
+    for sizes in blocks.values():
+        assert sorted(sizes) == list(range(len(sizes)))
+        assert all(sizes[p] == chat.MAX_ROWS for p in range(len(sizes) - 1)) and 0 < sizes[len(sizes) - 1] <= chat.MAX_ROWS
+
+
 def test_empty_table(spark):
     assert chat.rotate(spark.createDataFrame([], KINDS)).count() == 0
