@@ -6,6 +6,9 @@ and non-ASCII characters is a gap), joined by single blanks; the automaton runs
 line, so a phrase is found wherever its words stand consecutively, overlapping places included.
 Where it meets a tag ("SPDX-License-Identifier", "License:"), the raw text behind the tag is read
 as an expression: identifiers joined by AND, OR, WITH and brackets, WITH binding closest, OR least.
+Behind "License:" or "Licence:", which also introduce prose, an expression ends before the first
+identifier that isn't on the lists in ``spdx``; a lone plain word of these lists ("Fair", "Info")
+counts only if no other word follows.
 AND asks for all its parts, so it takes the stricter class of its sides, OR offers a choice, so it
 takes the milder one.
 
@@ -25,6 +28,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import spdx
 from .common import table, text_of
 
 #: The contract's phrases and labels.
@@ -51,8 +55,12 @@ NOTICES = {
     "public domain": "public-domain",
     "all rights reserved": "all-rights-reserved",
 }
-TAGS = ("spdx license identifier",)
-TAG_RE = re.compile(r"SPDX-License-Identifier[ \t]*:[ \t]*([^\r\n]*)", re.IGNORECASE)
+TAGS = ("spdx license identifier", "license", "licence")
+#: Group 1: behind an SPDX tag; group 2: behind a plain one, which begins a word.
+TAG_RE = re.compile(
+    r"SPDX-License-Identifier[ \t]*:[ \t]*([^\r\n]*)|(?<![^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F])Licen[sc]e[ \t]*:[ \t]*([^\r\n]*)",
+    re.IGNORECASE | re.ASCII,
+)
 TOKEN_RE = re.compile(r"[ \t]*([()]|[A-Za-z0-9][A-Za-z0-9.+-]*)")
 
 #: Strictness by the beginning of an identifier; unknown ones count as 2.
@@ -65,20 +73,25 @@ def strictness(identifier: str) -> int:
     return next((v for k, v in STRICTNESS if identifier.startswith(k)), 2)
 
 
-def read_expression(text: str) -> list[str]:
-    """Postfix form (shunting yard) of the longest readable expression that ``text`` begins with."""
+def read_expression(text: str, listed: bool = False) -> list[str]:
+    """Postfix form (shunting yard) of the longest readable expression that ``text`` begins with;
+    ``listed``: of known identifiers only."""
     out: list[str] = []
     ops: list[str] = []
     best: list[str] = []
     operand_next, at = True, 0
     while m := TOKEN_RE.match(text, at):
         token, at = m[1].lower(), m.end()
+        if listed:
+            token = token.rstrip(".")  # of the sentence
         if operand_next:
             if token == "(":
                 ops.append(token)
                 continue
             if token == ")" or token in _PRECEDENCE:
                 break
+            if listed and not (token in spdx.EXCEPTIONS if ops and ops[-1] == "with" else spdx.known(token)):
+                break
             out.append(token)
             operand_next = False
         elif token == ")":
@@ -100,6 +113,18 @@ def read_expression(text: str) -> list[str]:
     return best
 
 
+PLAIN_RE = re.compile(r"[ \t(]*[A-Za-z]+[ \t)]+[^\W\d_]")
+
+
+def tagged_expression(m: re.Match) -> list[str]:
+    """Postfix form of the expression behind a match of TAG_RE."""
+    if m[1] is not None:
+        return read_expression(m[1])
+    postfix = read_expression(m[2], listed=True)
+    family = postfix and any(postfix[0].startswith(k) for k, _ in STRICTNESS)
+    return [] if len(postfix) == 1 and not family and PLAIN_RE.match(m[2]) else postfix
+
+
 def evaluate(postfix: list[str]) -> tuple[list[str], int]:
     """(identifiers, strictness class) of a postfix expression."""
     stack: list[tuple[list[str], int]] = []
@@ -135,7 +160,7 @@ def scan_texts(texts: list[bytes], automaton) -> list[dict]:
         expressions = []
         if tagged:
             for m in TAG_RE.finditer(raw.decode("utf-8")):
-                if postfix := read_expression(m[1]):
+                if postfix := tagged_expression(m):
                     ids, level = evaluate(postfix)
                     strict = max(strict, level)
                     expressions.append(" ".join(postfix))

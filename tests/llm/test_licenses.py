@@ -63,3 +63,28 @@ def test_tags_and_edge_cases(spark, odd_docs, no_docs, odd_texts):
     assert len(odd) == len(odd_texts) + 2
     assert all(found(r) == brute(odd_texts[r.doc_id]) for r in odd if r.doc_id is not None)
     assert licenses.scan_licenses(no_docs).count() == 0
+
+
+def test_plain_tags(spark):
+    want = {
+        "Package: x\nLicense: MIT OR Apache-2.0\n": ["apache-2.0", "mit"],
+        "licence : GPL-3.0-only WITH Classpath-exception-2.0": ["gpl-3.0-only with classpath-exception-2.0"],
+        "# LICENSE: (MPL-2.0 AND BSD-3-Clause) OR GPL-2+ */": ["bsd-3-clause", "gpl-2+", "mpl-2.0"],
+        "License: MIT License": ["mit"],
+        "License: MIT OR ISC.": ["isc", "mit"],
+        "License: MIT OR the other one": ["mit"],
+        "License: GPL-3.0-only WITH love": ["gpl-3.0-only"],
+        "License: Ruby": ["ruby"],
+        "License: Fair use is asked for": [],
+        "License: see the file COPYING": [],
+        "The license: mitigation of risks": [],
+        "Sublicense: MIT, élicense: MIT": [],
+        "License:\nMIT": [],
+        "License: ": [],
+        "SPDX-License-Identifier: Something-Else": ["something-else"],
+    }
+    texts = list(want)
+    rows = {r.doc_id: r for r in licenses.scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")).collect()}
+    assert {t: rows[i].labels for i, t in enumerate(texts)} == want
+    assert all((rows[i].score > 0) == bool(want[t]) for i, t in enumerate(texts))
+    assert rows[0].strictness == 1 and rows[0].expressions == ["mit apache-2.0 or"]
