@@ -2,7 +2,7 @@
 
 1. Labels come from ``labels.toxic`` of training rows only (crc32 of doc_id as text, modulo 4, is not
    2). Spark counts, over all training rows with distinct texts, in how many toxic and other texts a
-   word stands; words with a significant log-odds ratio form the lexicon (``MAX_LEXICON`` at most).
+   word stands; all words with a significant log-odds ratio form the lexicon, which goes to the tasks.
 2. Tokens are labelled by distant supervision: lexicon words in toxic texts are toxic, all others are
    not. The field has two tags, transition weights, and emission weights for the log-odds class of
    the word and its neighbours, capitals and attached symbols. It is fitted by maximum likelihood
@@ -30,9 +30,8 @@ from pyspark.sql import functions as F
 
 from .common import table, text_of
 
-#: Bounds of the fit: sample size in expectation, and lexicon size.
+#: Bound of the fit: sample size in expectation.
 TRAIN_DOCS = 4000
-MAX_LEXICON = 5000
 #: A lexicon word stands in so many distinct toxic texts at least, with this log-odds ratio and z value.
 LEAST_TEXTS, LEAST_LOG_ODDS, LEAST_Z = 3, 1.5, 3.5
 #: Labels that may be broadcast (12 bytes each); above, texts and labels are shuffled.
@@ -75,7 +74,7 @@ def lexicon(train: DataFrame) -> DataFrame:
     odds = F.log((F.col("d1") + 0.5) / (n1 - F.col("d1") + 0.5)) - F.log((F.col("d0") + 0.5) / (n0 - F.col("d0") + 0.5))
     error = F.sqrt(1 / (F.col("d1") + 0.5) + 1 / (F.col("d0") + 0.5))
     scored = counts.select("word", odds.alias("odds"), (odds / error).alias("z"))
-    return scored.where((F.col("odds") >= LEAST_LOG_ODDS) & (F.col("z") >= LEAST_Z)).orderBy(F.desc("z"), "word").limit(MAX_LEXICON).select("word", "odds")
+    return scored.where((F.col("odds") >= LEAST_LOG_ODDS) & (F.col("z") >= LEAST_Z)).select("word", "odds")
 
 
 def classes_of(words: list[tuple[str, float]]) -> dict[str, int]:
@@ -83,10 +82,11 @@ def classes_of(words: list[tuple[str, float]]) -> dict[str, int]:
 
 
 # -- the field -------------------------------------------------------------------------------------------
-def forward_backward(unary, edges, lengths):
+def forward_backward(unary, edges, lengths, counts=None):
     """Marginals of tag 1 and pair sums of chains of unequal length, padded to a matrix.
 
-    unary: [chain, place] score of tag 1 against tag 0; edges: 2 x 2 scores. Returns (p, pairs, logz).
+    unary: [chain, place] score of tag 1 against tag 0; edges: 2 x 2 scores; counts: how often each
+    chain counts in the pair sums, once if not given. Returns (p, pairs, logz).
     """
     import numpy as np
 
@@ -104,10 +104,11 @@ def forward_backward(unary, edges, lengths):
         alpha[:, t] = a / s[:, None]
     beta = np.ones((n, wide, 2))
     pairs = np.zeros((2, 2))
+    times = np.ones((n, 1)) if counts is None else np.asarray(counts, float)[:, None]
     for t in range(wide - 2, -1, -1):
         nxt = emit[:, t + 1] * beta[:, t + 1] / scale[:, t + 1, None]
         beta[:, t] = np.where(on[:, t + 1, None], nxt @ e.T, 1.0)
-        pairs += ((alpha[:, t] * on[:, t + 1, None]).T @ nxt) * e
+        pairs += ((alpha[:, t] * on[:, t + 1, None] * times).T @ nxt) * e
     p = alpha * beta
     p = p[:, :, 1] / p.sum(2)
     return np.where(on, p, 0.0), pairs, np.log(scale).sum()
@@ -249,22 +250,22 @@ def fit(texts: list[str], toxic: list[int], classes: dict[str, int], steps: int
         y = (f[:, :, 0] > 0) & (y_doc[np.array(chains.text)[rows]][:, None] > 0)
         inner = np.arange(f.shape[1] - 1) + 1 < lengths[:, None]
         seen = np.array([[((y[:, :-1] == a) & (y[:, 1:] == b) & inner).sum() for b in (0, 1)] for a in (0, 1)], float)
-        groups.append((f, lengths, y, seen))
-    # chains without features: all of their tags are 0; a bounded share of them stands for the rest
+        groups.append((f, lengths, y, seen, None))
+    # chains without features: all of their tags are 0, and those of one length are alike, so one counts for all
     if chains.plain:
         n = np.array([x for _, x in chains.plain])
-        take = n[:: max(1, len(n) // 4096)]
+        take, counts = np.unique(n, return_counts=True)
         wide = int(take.max())
         on = np.arange(wide) < take[:, None]
         no = np.zeros((len(take), wide), bool)
         f = features_of(np.zeros((len(take), wide), np.int64), no, no, on)
-        groups.append((f, take, no, np.array([[float((take - 1).sum()), 0.0], [0.0, 0.0]])))
+        groups.append((f, take, no, np.array([[float((n - 1).sum()), 0.0], [0.0, 0.0]]), counts))
     step, last = np.full(FEATURES + 4, 0.1), np.zeros(FEATURES + 4)
     for _ in range(steps):
         grad, grad_e = -0.01 * weights, -0.01 * edges
-        for f, lengths, y, seen in groups:
-            p, pairs, _ = forward_backward(unary_of(f, weights), edges, lengths)
-            diff = np.repeat((y - p)[:, :, None], f.shape[2], 2)
+        for f, lengths, y, seen, counts in groups:
+            p, pairs, _ = forward_backward(unary_of(f, weights), edges, lengths, counts)
+            diff = np.repeat(((y - p) * (1 if counts is None else counts[:, None]))[:, :, None], f.shape[2], 2)
             on = f >= 0
             grad = grad + np.bincount(f[on], weights=diff[on], minlength=FEATURES)
             grad_e = grad_e + seen - pairs

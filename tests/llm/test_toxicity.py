@@ -79,3 +79,23 @@ def test_offsets_and_edge_cases(spark, odd_docs, no_docs, odd_texts):
     assert toxicity.score_texts(no_docs, model).count() == 0
     one_class = toxicity.train(docs, labels.where("toxic = 0"))
     assert {r.score for r in toxicity.score_texts(odd_docs, one_class).collect()} == {one_class["prior"]}
+
+
+def test_lexicon_keeps_every_word_that_passes(spark):
+    words = [f"w{chr(97 + i // 676)}{chr(97 + i // 26 % 26)}{chr(97 + i % 26)}" for i in range(6000)]
+    rows = [(" ".join(words) + f" x{'x' * k}", 1) for k in range(4)] + [(f"clean {'y' * (k + 1)}", 0) for k in range(200)]
+    got = {r.word for r in toxicity.lexicon(spark.createDataFrame(rows, "text string, toxic int")).collect()}
+    assert got == set(words)
+
+
+def test_chains_without_features_all_count():
+    rng = np.random.default_rng(5)
+    edges, unary = rng.normal(size=(2, 2)), rng.normal(size=(3, 6))
+    lengths, counts = np.array([6, 2, 4]), np.array([3, 1, 2])
+    many = np.repeat(np.arange(3), counts)
+    once, each = toxicity.forward_backward(unary, edges, lengths, counts), toxicity.forward_backward(unary[many], edges, lengths[many])
+    assert np.allclose(once[1], each[1]) and np.allclose(once[0][many], each[0])
+    # lengths alternate, so that a sample of every k-th chain would hold one length only
+    texts = ["one two. one two three four five." * 5000, "bad words here. bad day"]
+    there, back = (toxicity.fit(t, y, {"bad": 3}) for t, y in ((texts, [0, 1]), ([texts[0][::-1], texts[1]], [0, 1])))
+    assert np.allclose(there["weights"], back["weights"]) and np.allclose(there["edges"], back["edges"])
