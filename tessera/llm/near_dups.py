@@ -159,7 +159,7 @@ def digest(shingles) -> int:
         return int(_mix(np.array([total + np.uint64(len(shingles))], np.uint64)).view(np.int64)[0])
 
 
-def unlikely(regs_a, regs_b, n_a, n_b):
+def unlikely(regs_a, regs_b, n_a, n_b, threshold=SIMILAR):
     """True where the joint likelihood of two sketches speaks against similarity >= threshold by SIGMAS.
 
     For set shares u, v = n_a, n_b over their sum, a register is larger in a with probability
@@ -180,7 +180,7 @@ def unlikely(regs_a, regs_b, n_a, n_b):
         tiny = 1e-12
         return more[:, None] * np.log(up + tiny) + less[:, None] * np.log(down + tiny) + same[:, None] * np.log(np.clip(1 - up - down, tiny, 1))
 
-    bound = SIMILAR[0] / SIMILAR[1]
+    bound = threshold[0] / threshold[1]
     best = loglik(np.linspace(0, bound, 35)[None, :]).max(1)
     at = loglik(np.linspace(bound, 1, 16)[None, :]).max(1)
     return (best - at > SIGMAS**2 / 2) | (limit[:, 0] < bound - 1e-9)
@@ -215,7 +215,7 @@ def sketches(docs: DataFrame, *more: str) -> DataFrame:
     return src.mapInArrow(run, f"doc_id {kind}, n bigint, node bigint, bands array<bigint>, regs binary{passed}")
 
 
-def likely_pairs(pairs: DataFrame, sigs: DataFrame) -> DataFrame:
+def likely_pairs(pairs: DataFrame, sigs: DataFrame, threshold: tuple[int, int] = SIMILAR) -> DataFrame:
     """The (a, b) whose sketches leave the threshold possible."""
 
     def run(batches: Iterator) -> Iterator:
@@ -227,11 +227,11 @@ def likely_pairs(pairs: DataFrame, sigs: DataFrame) -> DataFrame:
                 continue
             ra, rb = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint16).reshape(-1, REGISTERS) for k in (2, 3))
             na, nb = (batch.column(k).to_numpy().astype(np.float64) for k in (4, 5))
-            yield batch.filter(pa.array(~unlikely(ra, rb, na, nb))).select([0, 1])
+            yield batch.filter(pa.array(~unlikely(ra, rb, na, nb, threshold))).select([0, 1])
 
     side = lambda x: sigs.select(F.col("node").alias(x), F.col("regs").alias(f"r{x}"), F.col("n").alias(f"n{x}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
-    bound = SIMILAR[0] / SIMILAR[1]
+    bound = threshold[0] / threshold[1]
     both = both.where((F.col("na") >= F.col("nb") * bound) & (F.col("nb") >= F.col("na") * bound))
     return both.select("a", "b", "ra", "rb", "na", "nb").mapInArrow(run, "a bigint, b bigint")
 
@@ -258,7 +258,7 @@ def full_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return texts.select("node", "text").mapInArrow(run, "node bigint, set binary").dropDuplicates(["node"])
 
 
-def similar(x, y) -> bool:
+def similar(x, y, threshold: tuple[int, int] = SIMILAR) -> bool:
     """The contract's rule on two sorted arrays of distinct hashes."""
     import numpy as np
 
@@ -266,11 +266,11 @@ def similar(x, y) -> bool:
         x, y = y, x
     at = np.minimum(np.searchsorted(y, x), len(y) - 1)
     common = int((y[at] == x).sum())
-    return SIMILAR[1] * common >= SIMILAR[0] * (len(x) + len(y) - common)
+    return threshold[1] * common >= threshold[0] * (len(x) + len(y) - common)
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The (a, b) with 100 * intersection >= 85 * union on the full sets."""
+def verified(pairs: DataFrame, sets: DataFrame, threshold: tuple[int, int] = SIMILAR) -> DataFrame:
+    """The (a, b) with 100 * intersection >= 85 * union on the full sets (for 85/100)."""
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
@@ -278,7 +278,7 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
         for batch in batches:
             sets = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
-            keep = [similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) for x, y in sets]
+            keep = [similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), threshold) for x, y in sets]
             yield batch.filter(pa.array(keep, pa.bool_())).select([0, 1])
 
     side = lambda x: sets.select(F.col("node").alias(x), F.col("set").alias(f"s{x}"))
@@ -330,7 +330,7 @@ def apart(members: DataFrame) -> int:
     return each.agg(F.coalesce(F.sum((F.col("size") - F.col("most")) * F.col("size")), F.lit(0))).first()[0]
 
 
-def rest_links(buckets: DataFrame, sigs: DataFrame, sets_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def rest_links(buckets: DataFrame, sigs: DataFrame, sets_of: Callable[[DataFrame], DataFrame], threshold: tuple[int, int] = SIMILAR) -> DataFrame:
     """Verified links (a, b) between components that still share a large bucket. Nodes outside the
     bucket's largest component meet all nodes of other components, block by block; a pair is looked at
     in its first common band only. A block verifies in itself, the likeliest pairs of a node first, and
@@ -361,18 +361,18 @@ def rest_links(buckets: DataFrame, sigs: DataFrame, sets_of: Callable[[DataFrame
         a, b, out = left["node"].tolist(), right["node"].tolist(), []
         other = right["comp"].to_numpy()
         sets = [np.frombuffer(x, np.uint64) for x in right["set"]]
-        bound = SIMILAR[0] / SIMILAR[1]
+        bound = threshold[0] / threshold[1]
         for k, own in enumerate(left["comp"].tolist()):
             same = bb == ba[k]
             first = np.where(same.any(1), bb[np.arange(len(bb)), same.argmax(1)], 0) == key[0]
             on = np.flatnonzero(first & (other != own) & (na[k] >= bound * nb) & (nb >= bound * na[k]))
             if not len(on):
                 continue
-            on = on[~unlikely(np.repeat(ra[k : k + 1], len(on), 0), rb[on], np.full(len(on), na[k]), nb[on])]
+            on = on[~unlikely(np.repeat(ra[k : k + 1], len(on), 0), rb[on], np.full(len(on), na[k]), nb[on], threshold)]
             on = on[np.argsort(-(rb[on] == ra[k]).sum(1), kind="stable")]
             x, reached = np.frombuffer(left["set"].iloc[k], np.uint64), set()
             for j in on.tolist():
-                if other[j] not in reached and similar(x, sets[j]):
+                if other[j] not in reached and similar(x, sets[j], threshold):
                     reached.add(other[j])
                     out.append((min(a[k], b[j]), max(a[k], b[j])))
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
@@ -381,7 +381,7 @@ def rest_links(buckets: DataFrame, sigs: DataFrame, sets_of: Callable[[DataFrame
     return blocks.applyInPandas(meet, "a bigint, b bigint").distinct()
 
 
-def labelled(docs: DataFrame, *extra: str) -> DataFrame:
+def labelled(docs: DataFrame, *extra: str, threshold: tuple[int, int] = SIMILAR) -> DataFrame:
     """(doc_id, n_shingles, comp, component_id, more columns of docs) for every row of ``docs``: comp
     names the component even where its ids are null; it and component_id are null for an empty set."""
     spark = docs.sparkSession
@@ -399,14 +399,14 @@ def labelled(docs: DataFrame, *extra: str) -> DataFrame:
 
     def confirmed(likely: DataFrame) -> DataFrame:
         likely = scratch.write(likely)
-        return verified(likely, sets_of(likely.select(F.explode(F.array("a", "b")).alias("node")).distinct()))
+        return verified(likely, sets_of(likely.select(F.explode(F.array("a", "b")).alias("node")).distinct()), threshold)
 
     def placed(comps: DataFrame) -> DataFrame:
         found = buckets.join(comps, "node", "left")
         return scratch.write(found.select("key", "node", "first", "size", F.coalesce("comp", "node").alias("comp")))
 
     # round 0: every node meets a leader or two
-    links = scratch.write(confirmed(likely_pairs(leader_pairs(buckets.withColumn("comp", F.col("node")), 0), sigs)))
+    links = scratch.write(confirmed(likely_pairs(leader_pairs(buckets.withColumn("comp", F.col("node")), 0), sigs, threshold)))
     comps = components(links, scratch)
     members = placed(comps)
 
@@ -414,15 +414,15 @@ def labelled(docs: DataFrame, *extra: str) -> DataFrame:
     round_no, before, work = 1, 0, apart(members)
     while work > REST_WORK and (round_no == 1 or work < (1 - WORTH) * before):
         again = leader_pairs(members.where(F.col("size") > SMALL), round_no)
-        links = scratch.write(links.union(confirmed(likely_pairs(again, sigs))))
+        links = scratch.write(links.union(confirmed(likely_pairs(again, sigs, threshold))))
         comps = components(links, scratch)
         round_no, before, members = round_no + 1, work, placed(comps)
         work = apart(members)
 
     # the rest: all pairs between components, in small buckets as rows, in large ones in blocks
-    more = confirmed(likely_pairs(small_pairs(members), sigs))
+    more = confirmed(likely_pairs(small_pairs(members), sigs, threshold))
     if work:
-        more = more.union(rest_links(members.where(F.col("size") > SMALL), sigs, sets_of))
+        more = more.union(rest_links(members.where(F.col("size") > SMALL), sigs, sets_of, threshold))
     links = scratch.write(links.union(more))
     comps = components(links, scratch)
 
@@ -433,13 +433,14 @@ def labelled(docs: DataFrame, *extra: str) -> DataFrame:
     return out.select("doc_id", "n_shingles", "comp", "component_id", *extra)
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for every row of ``docs``."""
+def near_duplicates(docs: DataFrame, threshold: tuple[int, int] = SIMILAR) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) for every row of ``docs``; threshold: similarity of a link,
+    as a fraction of 0.8 at least (the bands are laid out for that)."""
     component = F.when(F.col("comp").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return labelled(docs).select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    return labelled(docs, threshold=threshold).select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, threshold: tuple[int, int] = SIMILAR) -> DataFrame:
     """One row of each group of near-duplicates, columns unchanged: that of the smallest id, null ids
     last; of different texts with that id, or with null ids only, that of the smallest digest. Rows
     without words are linked with nothing: of those only equal rows are reduced to one.
@@ -457,7 +458,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
         F.when(text_of().rlike(r"[^\x20\x09-\x0D]"), F.lit("")).otherwise(F.concat(F.lit("="), rest)),
     )
     key = F.unhex(F.sha2(known, 256)).alias("key")
-    found = labelled(docs.select("doc_id", "text", key), "key")
+    found = labelled(docs.select("doc_id", "text", key), "key", threshold=threshold)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key")).getField("key")
     keep = found.where("comp is not null").groupBy("comp").agg(first.alias("key")).select("key")
     keep = keep.union(found.where("comp is null").select("key"))

@@ -120,3 +120,13 @@ def test_keep_one_rows(spark, odd_docs, odd_texts):
     assert {r[1] for r in left if r[0] == 3} < {long[1], near[1]} and {r[1] for r in left if r[0] is None} < {long[4], near[4]}
     again = near_dups.keep_one(spark.createDataFrame(docs[::-1], "doc_id bigint, text string, source string").repartition(2)).collect()
     assert sorted(map(repr, kept)) == sorted(repr(tuple(r)) for r in again)
+
+
+def test_threshold_is_an_argument(spark):
+    words = [f"w{i}" for i in range(104)]
+    docs = [(1, " ".join(words)), (2, " ".join(words[:50] + ["x", "y"] + words[52:] + [f"v{i}" for i in range(8)]))]
+    a, b = (shingles(t) for _, t in docs)
+    assert 80 * len(a | b) <= 100 * len(a & b) < 85 * len(a | b)
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    assert near_dups.keep_one(df).count() == 2 and [r.doc_id for r in near_dups.keep_one(df, (80, 100)).collect()] == [1]
+    assert [r.kept for r in near_dups.near_duplicates(df, threshold=(80, 100)).orderBy("doc_id").collect()] == [True, False]
