@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, decontaminate, licenses, near_dups, phrases, pii, quality, repeats, secrets, toxicity
+from . import bpe, chat, decontaminate, licenses, near_dups, phrases, pii, quality, repeats, runs, secrets, toxicity
 from .common import QueryFn
 
 _QUERIES: dict[str, QueryFn] = {
@@ -16,6 +16,7 @@ _QUERIES: dict[str, QueryFn] = {
     "op8_licenses": licenses.op8_licenses,
     "op9_chat": chat.op9_chat,
     "op10_near_dups": near_dups.op10_near_dups,
+    "op11_runs": runs.op11_runs,
     "op13_phrases": phrases.op13_phrases,
 }
 
