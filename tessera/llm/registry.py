@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, decontaminate, licenses, near_dups, phrases, pii, quality, repeats, runs, secrets, toxicity
+from . import bpe, chat, decontaminate, language, licenses, near_dups, phrases, pii, quality, repeats, runs, secrets, toxicity
 from .common import QueryFn
 
 _QUERIES: dict[str, QueryFn] = {
@@ -17,6 +17,7 @@ _QUERIES: dict[str, QueryFn] = {
     "op9_chat": chat.op9_chat,
     "op10_near_dups": near_dups.op10_near_dups,
     "op11_runs": runs.op11_runs,
+    "op12_language": language.op12_language,
     "op13_phrases": phrases.op13_phrases,
 }
 

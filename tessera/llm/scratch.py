@@ -27,5 +27,12 @@ class Scratch:
     def drop(self, df: DataFrame) -> None:
         """Deletes a written table that nothing reads any more."""
         for f in {p.rsplit("/", 1)[0] for p in df.inputFiles()}:
-            path = self.spark._jvm.org.apache.hadoop.fs.Path(f)
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+            self._delete(f)
+
+    def clear(self) -> None:
+        """Deletes all tables written here, once nothing reads them any more."""
+        self._delete(self.folder)
+
+    def _delete(self, folder: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
