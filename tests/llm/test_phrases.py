@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import Row
 
 from tessera.llm import phrases
-from tessera.llm.phrases import collocations, op13_phrases, phrase_counts, pieces
+from tessera.llm.phrases import collocations, op13_phrases, phrase_counts, pieces, segments
+from tessera.llm.scratch import Scratch
 
 LOWER = {c: c + 32 for c in range(65, 91)}
 KINDS = "lang string, text string"
@@ -48,11 +49,14 @@ def made(rng, n=300):
     return [(rng.choice(["en", "fr", None, "und"]), " ".join(rng.choices(words, k=rng.randint(0, 60)))) for _ in range(n)]
 
 
-@pytest.mark.parametrize(("support", "top", "limit"), [(30, 2000, 2_000_000), (4, 25, 2_000_000), (4, 2000, 37)])
-def test_equals_brute_force(spark, rng, support, top, limit):
+@pytest.mark.parametrize(("support", "top", "sizes", "bits"), [
+    (30, 2000, (64_000, 2_000_000), 64), (4, 25, (64_000, 2_000_000), 64), (4, 2000, (37, 300), 64), (4, 2000, (200, 2000), 9),
+])
+def test_equals_brute_force(spark, rng, support, top, sizes, bits):
+    """With fingerprints of nine bits nearly everything collides; counting by the texts keeps the result right."""
     rows = made(rng)
     rows += rows[:50]
-    got = collocations(spark.createDataFrame(rows, KINDS).repartition(3), support, top=top, limit=limit).collect()
+    got = collocations(spark.createDataFrame(rows, KINDS).repartition(3), support, top=top, sizes=sizes, bits=bits).collect()
     want = brute(rows, support, top)
     assert len(want) > 20 and {tuple(r) for r in got} == want and len(got) == len(want)
 
@@ -62,26 +66,12 @@ def test_all_langs_one_hot(spark, rng):
     assert {tuple(r) for r in collocations(spark.createDataFrame(rows, KINDS), 5).collect()} == brute(rows, 5, 2000)
 
 
-def test_colliding_prints_are_told_apart(spark, rng, monkeypatch):
-    """With fingerprints of four bits nearly everything collides; the texts at the pointers keep the counts right."""
-    real = phrases._mix
-    monkeypatch.setattr(phrases, "_mix", lambda x: real(x) & ((1 << 64) - (1 << 60)))
-    rows = made(rng, 60)
-    counts = Counter()
-    hasher = phrases.Hasher()
-    everything = [__import__("numpy").full(1 << phrases.FILTER_BITS - 6, (1 << 64) - 1, "uint64")] * 4
-    texts = [(t.encode(), lang or "und") for lang, t in rows]
-    for segments in pieces([t for t, _ in texts], [x for _, x in texts], 500):
-        phrases.Grams(hasher, segments).phrases(everything, counts)
-    want = {(lang, " ".join(p)): n for (lang, p), n in grams(rows)[0].items()}
-    assert {k: n for k, n in counts.items() if n} == want
-
-
 def test_long_texts_are_cut_between_words():
     text = ("alpha beta " * 50 + "gamma" * 30 + " delta. ").encode()
-    cut = [s for part in pieces([text, b"", b"x"], ["en", "en", "fr"], 40) for s in part]
-    assert b"".join(s[:own] for s, own, _ in cut) == text + b"x" and len(cut) > 10
-    assert all(len(s) <= 40 + 200 for s, _, _ in cut)
+    cut = list(segments([text, b"", b"x"], ["en", "en", "fr"], [1, 2, 3], 40))
+    assert b"".join(s.text[: s.own] for s in cut) == text + b"x" and len(cut) > 10 and len({s.at for s in cut}) == len(cut)
+    assert all(len(s.text) <= 40 + 200 for s in cut)
+    assert [s for p in pieces(iter(cut), 100) for s in p] == cut
 
 
 def test_odd_rows(spark, odd_docs, no_docs):
@@ -104,6 +94,6 @@ def test_query_equals_brute_force(spark, sf_dir):
 
 def test_only_frequent_phrases_become_text(spark, rng):
     rows = [(lang or "und", t) for lang, t in made(rng, 100)]
-    got = phrase_counts(spark.createDataFrame(rows, KINDS).select("text", "lang"), 20).collect()
-    counts, totals = grams(rows)
-    assert {(r.lang, r.phrase): r.n for r in got} == {(k, " ".join(p)): a for (k, p), a in counts.items() if a >= 20} | {(k, ""): n for k, n in totals.items() if n}
+    docs = spark.createDataFrame(rows, KINDS).selectExpr("text", "lang", "xxhash64(text) AS key")
+    got = phrase_counts(docs, Scratch(spark, "phrases"), 20).collect()
+    assert {(r.lang, r.phrase): r.n for r in got} == {(k, " ".join(p)): a for (k, p), a in grams(rows)[0].items() if a >= 20}
