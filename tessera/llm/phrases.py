@@ -42,9 +42,9 @@ from .scratch import Scratch
 LONGEST, SUPPORT, SHARE, TOP = 4, 30, 80, 2000
 #: Bits of a bitmap: 8 MB, whatever the size of the input.
 FILTER_BITS = 26
-PIECE_BYTES = 2_000_000
+PIECE_BYTES = 500_000
 SEGMENT_BYTES = 64_000
-FLUSH = 1_000_000
+FLUSH = 500_000
 #: A lang's phrases are ranked in so many parts first.
 RANK_PARTS = 16
 
@@ -255,6 +255,7 @@ def print_counts(docs: DataFrame, n: int, shared, sizes: tuple[int, int], bits:
                 here = g.found(n, shared.value)
                 held.append((g.prints(n)[here], g.checks(n, here), g.at[here]))
                 size += len(here)
+                del g  # before the next one is made
                 if size >= FLUSH:
                     yield flush()
                     held, size = [], 0
