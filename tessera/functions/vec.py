@@ -125,6 +125,24 @@ def prefix(arr: ColumnOrName, n: int) -> Column:
     return F.slice(_c(arr), 1, n)
 
 
+def prefix_sums(terms: Column, ends: Sequence[int]) -> Column:
+    """Sums of the first n entries for every n in ``ends`` (ascending), from one running sum over the array."""
+    ends = list(ends)
+    step = lambda acc, x: F.struct(
+        (acc["i"] + 1).alias("i"), (acc["s"] + x).alias("s"),
+        F.when((acc["i"] + 1).isin(ends), F.concat(acc["out"], F.array(acc["s"] + x))).otherwise(acc["out"]).alias("out"),
+    )
+    zero = F.struct(F.lit(0).alias("i"), F.lit(0.0).alias("s"), F.array().cast("array<double>").alias("out"))
+    return F.aggregate(terms, zero, step, lambda acc: acc["out"])
+
+
+def scale_to_max(arr: ColumnOrName, top: ColumnOrName | float) -> Column:
+    """The vector times ``top`` over its maximum; all NULL if that is 0. Missing entries stay missing."""
+    a = to_double_array(arr)
+    t = top if isinstance(top, Column) else F.col(top) if isinstance(top, str) else F.lit(float(top))
+    return F.transform(a, lambda x: F.try_divide(x, F.array_max(a)) * t)
+
+
 def lit_vector(values: Sequence[float]) -> Column:
     return F.array(*[F.lit(float(v)) for v in values])
 

@@ -64,8 +64,11 @@ def basis_gram(basis: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return a.join(b, list(by) + ["pos"]).groupBy(*by, "k", "l").agg(F.sum(F.col("_a") * F.col("_b")).alias("g"))
 
 
-def pca(cov: DataFrame, by: Sequence[str] = (), value: str = "cov") -> DataFrame:
-    """Eigenpairs of each group's covariance: (by..., k, eigval, pos, u), k = 0 is the largest."""
+def pca(cov: DataFrame, by: Sequence[str] = (), value: str = "cov", undefined: float | None = None) -> DataFrame:
+    """Eigenpairs of each group's covariance: (by..., k, eigval, pos, u), k = 0 is the largest.
+
+    A covariance is undefined (NULL, or no row) where no vector has both positions; that raises, unless ``undefined``
+    says what to take for it."""
     by = list(by)
     src = cov.select(*by, "i", "j", F.col(value).alias("_c"))
     key_fields = [src.schema[k] for k in by]
@@ -81,8 +84,12 @@ def pca(cov: DataFrame, by: Sequence[str] = (), value: str = "cov") -> DataFrame
 
     def eig(pdf: pd.DataFrame) -> pd.DataFrame:
         d = int(max(pdf["i"].max(), pdf["j"].max())) + 1
-        C = np.zeros((d, d))
+        C = np.full((d, d), np.nan)
         C[pdf["i"].to_numpy(), pdf["j"].to_numpy()] = pdf["_c"].to_numpy(dtype=np.float64)
+        if np.isnan(C).any():
+            if undefined is None:
+                raise ValueError("some positions are never defined together: pass undefined= for their covariance")
+            C[np.isnan(C)] = undefined
         C = (C + C.T) / 2.0  # exact symmetry (input is the full square)
         w, V = np.linalg.eigh(C)
         order = np.argsort(-w, kind="stable")

@@ -7,16 +7,14 @@ key -- not with ``avg() over (partition by key)``, which would put a hot key int
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 
 
-def _rms(df: DataFrame, value: str) -> DataFrame:
-    return df.agg(F.sqrt(F.avg(F.col(value) * F.col(value))).alias("rms"))
-
-
 def remove_mean(df: DataFrame, key: str, value: str) -> DataFrame:
     """value - mean(value by key); rows keep their other columns."""
     m = df.groupBy(key).agg(F.avg(value).alias("_m"))
@@ -45,21 +43,32 @@ def effect_rms(df: DataFrame, row: str, col: str, value: str) -> DataFrame:
 def alternating_means(df: DataFrame, row: str, col: str, value: str, rounds: int = 5) -> DataFrame:
     """Alternately remove row-key means then col-key means; RMS after every half step.
 
-    Output (round, step, rms) with round 0 / step 'initial' first.  Lineage is cut with a
-    reliable checkpoint after every round, so the plan does not grow with the number of rounds.
+    Output (round, step, rms) with round 0 / step 'initial' first.
+
+    The cells never change: after any number of steps a cell is v - a[row] - b[col], so only the two offset
+    tables are kept. Cells are summed up once to (row, col, n, s, q). A half step reads them once, with
+    the other side's offsets, for a = (sum of v - sum of n b) / (sum of n) by row key (or the same for b), and
+    checkpoints that table of keys. Keys that are NULL are a key of their own. The RMS follows from sums over the offset tables alone:
+    sum of (v - a - b)^2 = Q - 2 sum(a S) - 2 sum(b S) + sum(n a^2) + sum(n b^2) + 2 sum(a X), with X = sum of n b
+    by key, which the half step has anyway.
     """
-    spark = df.sparkSession
-    t = df.where(F.col(value).isNotNull()).select(row, col, F.col(value).cast("double").alias("_v"))
-    results = [(0, "initial", t)]
-    cur = t
-    for r in range(1, rounds + 1):
-        cur = remove_mean(cur, row, "_v")
-        results.append((r, f"minus_{row}", cur))
-        cur = remove_mean(cur, col, "_v")
-        results.append((r, f"minus_{col}", cur))
-        cur = cut_lineage(cur)
-    parts = [_rms(d, "_v").select(F.lit(r).alias("round"), F.lit(s).alias("step"), "rms") for r, s, d in results]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    t = df.where(F.col(value).isNotNull()).select(F.col(row).alias("_r"), F.col(col).alias("_c"), F.col(value).cast("double").alias("_v"))
+    cells = cut_lineage(t.groupBy("_r", "_c").agg(F.count("_v").alias("n"), F.sum("_v").alias("s"), F.sum(F.col("_v") * F.col("_v")).alias("q")))
+    sums = [cells.agg(F.lit(0).alias("k"), *[F.lit(0.0).alias(c) for c in ("aS", "na2", "aX")], F.sum("q").alias("q"), F.sum("n").alias("n"))]
+    other = None  # the other side's offsets
+    for k in range(1, 2 * rounds + 1):
+        mine, theirs = ("_r", "_c") if k % 2 else ("_c", "_r")
+        met = cells.withColumn("a", F.lit(0.0)) if other is None else cells.join(other.select(F.col(theirs).alias("_key"), "a"), F.col(theirs).eqNullSafe(F.col("_key")))
+        g = met.groupBy(mine).agg(F.sum("n").alias("n"), F.sum("s").alias("S"), F.sum(F.col("n") * F.col("a")).alias("X"))
+        other = cut_lineage(g.withColumn("a", (F.col("S") - F.col("X")) / F.col("n")))
+        sums.append(other.agg(
+            F.lit(k).alias("k"), F.sum(F.col("a") * F.col("S")).alias("aS"),
+            F.sum(F.col("n") * F.col("a") * F.col("a")).alias("na2"), F.sum(F.col("a") * F.col("X")).alias("aX"),
+        ))
+    steps = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), sums)
+    before, all_ = Window.orderBy("k"), Window.partitionBy()  # of 2 rounds + 1 rows
+    last = lambda c: F.coalesce(F.lag(c).over(before), F.lit(0.0))
+    steps = steps.select("k", "aX", F.max("q").over(all_).alias("q"), F.max("n").over(all_).alias("n"), (F.col("aS") + last("aS")).alias("aS"), (F.col("na2") + last("na2")).alias("na2"))
+    square = F.col("q") - 2 * F.col("aS") + F.col("na2") + 2 * F.col("aX")
+    step = F.when(F.col("k") == 0, "initial").when(F.col("k") % 2 == 1, f"minus_{row}").otherwise(f"minus_{col}")
+    return steps.select(F.ceil(F.col("k") / 2).cast("int").alias("round"), step.alias("step"), F.sqrt(F.greatest(square, F.lit(0.0)) / F.col("n")).alias("rms"))

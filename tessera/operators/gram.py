@@ -101,18 +101,36 @@ def gram_sums(df: DataFrame, vec: str = "v", by: Sequence[str] = ()) -> DataFram
 
 def covariance(df: DataFrame, vec: str = "v", by: Sequence[str] = (), full: bool = True) -> DataFrame:
     """Long covariance (by..., i, j, O, NO, cov) with 0-based positions; full square when ``full``."""
-    by = list(by)
     # The summed triangle is small (groups x (d+1)(d+2)/2 rows) and is read four times below (O,
     # two mean lookups, the mirror); without this checkpoint each read would re-run the scan and
     # the Python Gram stage (Python stages are not shared by exchange reuse).
-    g = cut_lineage(gram_sums(df, vec, by))
+    return covariance_of(cut_lineage(gram_sums(df, vec, by)), by, full)
+
+
+def principal_sums(g: DataFrame, positions: Sequence[int], by: Sequence[str] = ()) -> DataFrame:
+    """The Gram sums of the vectors cut to ``positions`` (renumbered in that order), read off the stored sums ``g``."""
+    wanted = F.array(*[F.lit(int(p)) for p in positions])
+    # row 0 is the augmenting 1 and stays; array_position counts from 1 and gives 0 for what isn't wanted
+    place = lambda c: F.when(F.col(c) == 0, F.lit(0)).otherwise(F.array_position(wanted, F.col(c) - 1).cast("int"))
+    a, b = place("i"), place("j")
+    kept = g.where(((F.col("i") == 0) | (a > 0)) & ((F.col("j") == 0) | (b > 0)))
+    return kept.select(*by, F.least(a, b).alias("i"), F.greatest(a, b).alias("j"), "s", "n")
+
+
+def covariance_of(g: DataFrame, by: Sequence[str] = (), full: bool = True) -> DataFrame:
+    """``covariance`` from stored Gram sums."""
+    by = list(by)
     mean = g.where(F.col("i") == 0).select(
         *by, (F.col("j") - 1).alias("_p"), F.try_divide(F.col("s"), F.col("n").cast("double")).alias("_m")
     ).where(F.col("_p") >= 0)
     o = g.where(F.col("i") > 0).select(*by, (F.col("i") - 1).alias("i"), (F.col("j") - 1).alias("j"), F.col("s").alias("O"), F.col("n").alias("NO"))
-    mi = mean.withColumnRenamed("_p", "i").withColumnRenamed("_m", "_mi")
-    mj = mean.withColumnRenamed("_p", "j").withColumnRenamed("_m", "_mj")
-    c = o.join(mi, by + ["i"]).join(mj, by + ["j"])
+    c = o
+    for side in ("i", "j"):  # a NULL key is a group like any other
+        m = mean.select(*[F.col(k).alias(f"_by_{k}") for k in by], F.col("_p").alias("_at"), F.col("_m").alias(f"_m{side}"))
+        same = F.col(side) == F.col("_at")
+        for k in by:
+            same &= F.col(k).eqNullSafe(F.col(f"_by_{k}"))
+        c = c.join(m, same).drop("_at", *[f"_by_{k}" for k in by])
     c = c.select(*by, "i", "j", "O", "NO", (F.try_divide(F.col("O"), F.col("NO").cast("double")) - F.col("_mi") * F.col("_mj")).alias("cov"))
     if full:
         c = c.unionByName(c.where(F.col("i") != F.col("j")).select(*by, F.col("j").alias("i"), F.col("i").alias("j"), "O", "NO", "cov"))

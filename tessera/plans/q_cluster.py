@@ -179,6 +179,31 @@ def elbow_curve(spark, sf):
     return spark.createDataFrame(rows, "k int, cost double, rmse double")
 
 
+@register(
+    "elbow_first",
+    f"""WITH {VECS}, mu AS (SELECT pos, avg(x) AS m FROM vlong GROUP BY pos),
+t AS (SELECT count(DISTINCT vec_id) AS n, sum((x - m) * (x - m)) AS cost FROM vlong JOIN mu USING (pos))
+SELECT 1 AS k, {rnd_sql('cost', 6)} AS cost, {rnd_sql('sqrt(cost / n)', 9)} AS rmse FROM t""",
+)
+def elbow_first(spark, sf):
+    """C7 at k = 1: the total squared distance to the global mean, by the same assignment as all other k."""
+    pts = _points(spark, sf)
+    mean = cluster.codebook(cluster.group_means(pts.withColumn("_g", F.lit(0)), "_g"), "_g")[1]
+    a = cluster.assign_nearest(pts, mean, keep=["vec_id"]).agg(F.sum("d2").alias("cost"), F.count(F.lit(1)).alias("n"))
+    return a.select(F.lit(1).alias("k"), rnd("cost", 6).alias("cost"), rnd(F.sqrt(F.col("cost") / F.col("n")), 9).alias("rmse"))
+
+
+@register(
+    "cluster_contingency",
+    f"""WITH {_INIT}, {_assign_sql('vlong', 'c0', 'a1')}
+SELECT a1.cluster, CAST(e.label AS INTEGER) AS label, count(*) AS n FROM a1 JOIN embeddings e ON e.vec_id = a1.vec_id GROUP BY 1, 2""",
+)
+def cluster_contingency(spark, sf):
+    """How many points of each label every cluster holds."""
+    a = cluster.assign_nearest(_points(spark, sf), _init(spark, sf), keep=["label"])
+    return a.groupBy("cluster", F.col("label").cast("int").alias("label")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def hungarian_max(M: np.ndarray) -> list[tuple[int, int]]:
     """Best one-to-one matching maximising the total of a small square matrix."""
     k = M.shape[0]

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from ..functions import vec as V
 from ..functions.rounding import rnd, sig
 from ..operators import decomp, gram, stats
-from ..operators.series import explode_series
 from ..session import cut_lineage
 from . import standins as S
 from .registry import register
@@ -214,33 +213,44 @@ _WIDE_OUT = ["station", "yr", "total_var", "res_mean"] + [f"coeff_{i}" for i in
 ]
 
 
+# Coefficients and residuals that are zero but for summation noise (a series of one month, say) have no
+# significant digits: noise is cut off first, far below the eight digits kept of the others.
+_NOISE = {"coeff": 5, "res": 12}
+
+
+def _out(name: str, kind: str | None = None):
+    floor = _NOISE.get(kind or name.split("_")[0])
+    return sig(name if floor is None else rnd(name, floor), 8)
+
+
+def _out_sql(name: str) -> str:
+    floor = _NOISE.get(name.split("_")[0])
+    return sig_sql(name if floor is None else rnd_sql(name, floor), 8)
+
+
 @register(
     "decompose",
-    _decompose_sql(
-        "SELECT station, yr, "
-        + ", ".join(f"{sig_sql(c, 8)} AS {c}" for c in _WIDE_OUT[2:])
-        + " FROM wide"
-    ),
+    _decompose_sql("SELECT station, yr, " + ", ".join(f"{_out_sql(c)} AS {c}" for c in _WIDE_OUT[2:]) + " FROM wide"),
 )
 def decompose(spark, sf):
     d = _decomposed(spark, sf)
-    return d.select("station", "yr", *[sig(c, 8).alias(c) for c in _WIDE_OUT[2:]])
+    return d.select("station", "yr", *[_out(c).alias(c) for c in _WIDE_OUT[2:]])
 
 
 @register(
     "decompose_long",
     _decompose_sql(
         "SELECT station, yr, 0 AS k, CAST(NULL AS DOUBLE) AS coeff, "
-        + sig_sql("res_mean", 8)
+        + _out_sql("res_mean")
         + " AS residual FROM wide UNION ALL "
         + " UNION ALL ".join(
-            f"SELECT station, yr, {i} AS k, {sig_sql(f'coeff_{i}', 8)}, {sig_sql(f'res_{i}', 8)} FROM wide" for i in range(1, K_FOURIER + 1)
+            f"SELECT station, yr, {i} AS k, {_out_sql(f'coeff_{i}')}, {_out_sql(f'res_{i}')} FROM wide" for i in range(1, K_FOURIER + 1)
         )
     ),
 )
 def decompose_long(spark, sf):
     lg = decomp.decompose_long(_decomposed(spark, sf), ["station", "yr"], K_FOURIER)
-    return lg.select("station", "yr", "k", sig("coeff", 8).alias("coeff"), sig("residual", 8).alias("residual"))
+    return lg.select("station", "yr", "k", _out("coeff").alias("coeff"), _out("residual", "res").alias("residual"))
 
 
 @register(
@@ -309,14 +319,22 @@ def reconstruct_error(spark, sf):
     return both.select("station", "yr", sig(F.sqrt(F.aggregate(squares, F.lit(0.0), lambda a, x: a + x)), 7).alias("error"))
 
 
-@register("denoise")
+@register(
+    "denoise",
+    f"""
+WITH {EVENT_SERIES},
+{_fourier_sql('basis0', '(SELECT CAST(range AS INTEGER) AS pos, 31 AS d FROM range(31))', 'd')},
+coef AS (SELECT user_id, event_type, k, sum(coalesce(v, 0e0) * u) AS c FROM eseries JOIN basis0 b ON eseries.pos = b.pos GROUP BY 1, 2, 3)
+SELECT user_id, event_type, b.pos, {rnd_sql('sum(c * u)', 6)} AS w FROM coef JOIN basis0 b ON coef.k = b.k GROUP BY 1, 2, 3
+""",
+)
 def denoise(spark, sf):
     """Project the (noisy, sparse) user-event series on a 31-point Fourier basis and rebuild it."""
     series = S.user_event_series(spark, sf)
     U = decomp.fourier_rows(S.USER_EVENT_D)
     dec = decomp.decompose(series, U, None, keep=["user_id", "event_type"])
     w = decomp.reconstruct_rows(dec, U, U.shape[0])
-    return w.select("user_id", "event_type", F.posexplode("w").alias("pos", "w"))
+    return w.select("user_id", "event_type", F.posexplode("w").alias("pos", "w")).withColumn("w", rnd("w", 6))
 
 
 @register("decompose_pca")

@@ -148,7 +148,7 @@ def price_wide(spark, sf):
     return series.pivot_wide(lg, "period", "name", "value", names)
 
 
-_PRICE_LONG_SQL = f"""
+PRICE_LONG = f"""
 {PRICES},
 lr AS (SELECT a.brand, a.period, a.price,
               CASE WHEN b.price > 0 AND a.price > 0 THEN ln(a.price / b.price) END AS log_ratio
@@ -163,7 +163,7 @@ plong AS (SELECT period, base || '_P' AS name, price AS value FROM named
 @register(
     "partition_columns",
     f"""
-WITH {_PRICE_LONG_SQL},
+WITH {PRICE_LONG},
 names AS (SELECT DISTINCT name FROM plong WHERE name LIKE '%\\_D' ESCAPE '\\')
 SELECT CAST(row_number() OVER (ORDER BY CASE WHEN name LIKE 'train/%' THEN 0 ELSE 1 END, name) AS INTEGER) AS ord, name
 FROM names
@@ -182,7 +182,7 @@ def partition_columns(spark, sf):
 @register(
     "decode_names",
     f"""
-WITH {_PRICE_LONG_SQL}
+WITH {PRICE_LONG}
 SELECT DISTINCT name, regexp_extract(name, '^(train|test)/(.*)_([PD])$', 1) AS split,
        regexp_extract(name, '^(train|test)/(.*)_([PD])$', 2) AS ticker,
        regexp_extract(name, '^(train|test)/(.*)_([PD])$', 3) AS kind
@@ -198,7 +198,7 @@ def decode_names(spark, sf):
 @register(
     "unpivot_prices",
     f"""
-WITH {_PRICE_LONG_SQL}
+WITH {PRICE_LONG}
 SELECT period, name, {sig_sql('value', 9)} AS value FROM plong WHERE value IS NOT NULL
 """,
 )
@@ -213,7 +213,7 @@ def unpivot_prices(spark, sf):
 @register(
     "row_to_vector",
     f"""
-WITH {_PRICE_LONG_SQL},
+WITH {PRICE_LONG},
 names AS (SELECT DISTINCT name FROM plong WHERE name LIKE '%\\_D' ESCAPE '\\'),
 ordered AS (SELECT name, row_number() OVER (ORDER BY CASE WHEN name LIKE 'train/%' THEN 0 ELSE 1 END, name) AS o FROM names),
 periods AS (SELECT DISTINCT period FROM plong)
@@ -546,7 +546,7 @@ def empirical_cdf(spark, sf):
 @register(
     "log_ratio",
     f"""
-WITH {_PRICE_LONG_SQL}
+WITH {PRICE_LONG}
 SELECT brand, period, {sig_sql('log_ratio', 8)} AS log_ratio FROM lr
 """,
 )
@@ -558,7 +558,7 @@ def log_ratio(spark, sf):
 @register(
     "log_ratio_telescopes",
     f"""
-WITH {_PRICE_LONG_SQL},
+WITH {PRICE_LONG},
 ends AS (SELECT brand, min(period) AS t0, max(period) AS t1 FROM prices GROUP BY brand)
 SELECT e.brand, {rnd_sql('sum(lr.log_ratio)', 9)} AS sum_log_ratio,
        {rnd_sql('ln(max(CASE WHEN lr.period = e.t1 THEN lr.price END) / max(CASE WHEN lr.period = e.t0 THEN lr.price END))', 9)} AS log_total
@@ -670,20 +670,23 @@ def best_worst_fit(spark, sf):
 
 #: Stations that may become columns; more is an error.
 _MAX_STATIONS = 1000
+#: The keys of the nation table, since a view's columns must be named in its text.
+_STATION_COLUMNS = ", ".join(f'max(CASE WHEN station = {k} THEN v END) AS "{k}"' for k in range(25))
 
 
 @register(
     "pivot_year_station",
     f"""
 WITH {SERIES}, tot AS (SELECT yr, station, {sig_sql('sum(v)', 11)} AS v FROM series GROUP BY 1, 2)
-SELECT * FROM (PIVOT tot ON station USING max(v) GROUP BY yr)
+SELECT yr, {_STATION_COLUMNS} FROM tot GROUP BY yr
 """,
 )
 def pivot_year_station(spark, sf):
-    """Year x station table of annual totals; duplicates would raise.  Columns: the station keys in the
-    data, at most ``_MAX_STATIONS``."""
+    """Year x station table of annual totals; duplicates would raise.  Columns: the stations of the
+    dimension table, at most ``_MAX_STATIONS``."""
     s = S.nation_year_series(spark, sf).select("yr", "station", V.vsum("v").alias("v"))
-    names = sorted(r["station"] for r in s.select("station").distinct().limit(_MAX_STATIONS + 1).collect())
+    stations = S.table(spark, sf, "nation", "n_nationkey").distinct().limit(_MAX_STATIONS + 1)
+    names = sorted(r["n_nationkey"] for r in stations.collect())
     if len(names) > _MAX_STATIONS:
         raise ValueError(f"more than {_MAX_STATIONS} stations can't become columns")
     p = series.pivot_wide(s, "yr", "station", "v", names)

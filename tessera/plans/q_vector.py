@@ -164,24 +164,34 @@ _DIMS = (2, 8, 32, 64)
 
 @register(
     "dimension_concentration",
-    f"""WITH {VECS},
-nr AS (SELECT d.d, v.vec_id, sqrt(sum(v.x * v.x)) AS nrm FROM vlong v, (VALUES {", ".join(f"({d})" for d in _DIMS)}) d(d)
-       WHERE v.pos < d.d GROUP BY 1, 2)
-SELECT CAST(d AS INTEGER) AS d, {rnd_sql('avg(nrm)', 12)} AS mean_norm, {rnd_sql('stddev_pop(nrm)', 9)} AS std_norm,
-       {rnd_sql('stddev_pop(nrm) / avg(nrm)', 9)} AS spread FROM nr GROUP BY d""",
+    f"""WITH {_PAIRS_SQL},
+dims AS (SELECT * FROM (VALUES {", ".join(f"({d})" for d in _DIMS)}) t(d)),
+nr0 AS (SELECT d.d, v.vec_id, sqrt(sum(v.x * v.x)) AS nrm FROM vlong v, dims d WHERE v.pos < d.d GROUP BY 1, 2),
+pd0 AS (SELECT d.d, pv.i, sqrt(sum((a.x - b.x) * (a.x - b.x))) AS dist, sum(a.x * b.x) AS dot FROM pv
+        JOIN vlong a ON a.vec_id = pv.a_id JOIN vlong b ON b.vec_id = pv.b_id AND b.pos = a.pos, dims d WHERE a.pos < d.d GROUP BY 1, 2),
+nr AS (SELECT d, avg(nrm) AS mn, stddev_pop(nrm) AS sn FROM nr0 GROUP BY d),
+pd AS (SELECT d, avg(dist) AS md, stddev_pop(dist) AS sd, avg(dot) AS mp, stddev_pop(dot) AS sp FROM pd0 GROUP BY d)
+SELECT CAST(d AS INTEGER) AS d, {rnd_sql('mn', 12)} AS mean_norm, {rnd_sql('sn', 9)} AS std_norm, {rnd_sql('sn / mn', 9)} AS spread,
+       {rnd_sql('md', 9)} AS mean_dist, {rnd_sql('sd', 9)} AS std_dist, {rnd_sql('mp', 9)} AS mean_dot, {rnd_sql('sp', 9)} AS std_dot
+FROM nr JOIN pd USING (d)""",
 )
 def dimension_concentration(spark, sf):
-    """Norms of the same points in growing dimension (prefixes of the vector): spread / mean."""
-    x = S.vectors(spark, sf)
-    parts = []
-    for d in _DIMS:
-        n = x.select(V.norm(V.prefix("x", d)).alias("nrm"))
-        parts.append(n.agg(F.lit(d).alias("d"), rnd(F.avg("nrm"), 12).alias("mean_norm"), rnd(F.stddev_pop("nrm"), 9).alias("std_norm"),
-                           rnd(F.stddev_pop("nrm") / F.avg("nrm"), 9).alias("spread")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """Norms, pair distances and pair dot products of the same points in growing dimension (prefixes of the
+    vector): running sums inside the row give all prefixes from one scan and one set of pairs."""
+    at = F.array(*[F.lit(d) for d in _DIMS])
+    cut = lambda terms: V.prefix_sums(terms, _DIMS)
+    square = lambda x: F.transform(x, lambda a: a * a)
+    norms = S.vectors(spark, sf).select(F.explode(F.arrays_zip(at.alias("d"), cut(square("x")).alias("q"))).alias("e"))
+    n = norms.groupBy(F.col("e.d").alias("d")).agg(F.avg(F.sqrt("e.q")).alias("mn"), F.stddev_pop(F.sqrt("e.q")).alias("sn"))
+    diff, dot = F.zip_with("xa", "xb", lambda a, b: (a - b) * (a - b)), F.zip_with("xa", "xb", lambda a, b: a * b)
+    pairs = _pairs(spark, sf).select(F.explode(F.arrays_zip(at.alias("d"), cut(diff).alias("q"), cut(dot).alias("p"))).alias("e"))
+    p = pairs.groupBy(F.col("e.d").alias("d")).agg(
+        F.avg(F.sqrt("e.q")).alias("md"), F.stddev_pop(F.sqrt("e.q")).alias("sd"), F.avg("e.p").alias("mp"), F.stddev_pop("e.p").alias("sp")
+    )
+    return n.join(p, "d").select(
+        "d", rnd("mn", 12).alias("mean_norm"), rnd("sn", 9).alias("std_norm"), rnd(F.col("sn") / F.col("mn"), 9).alias("spread"),
+        rnd("md", 9).alias("mean_dist"), rnd("sd", 9).alias("std_dist"), rnd("mp", 9).alias("mean_dot"), rnd("sp", 9).alias("std_dot"),
+    )
 
 
 _DIRECTIONS, _WIDTH = 5, 64
@@ -210,7 +220,13 @@ def random_projection(spark, sf):
     return e.select("vec_id", "e.dir", rnd("e.p", 6).alias("proj"))
 
 
-@register("f16_roundtrip")
+@register(
+    "f16_roundtrip",
+    f"""WITH {VECS},
+h AS (SELECT vec_id, x, pow(2e0, greatest(floor(log2(abs(x))), -14) - 10) AS step FROM vlong),
+r AS (SELECT vec_id, CASE WHEN x = 0 THEN 0e0 ELSE abs(x - round_even(x / step, 0) * step) END AS err FROM h)
+SELECT vec_id, {rnd_sql('max(err)', 12)} AS max_abs_err, true AS decoders_agree FROM r GROUP BY vec_id""",
+)
 def f16_roundtrip(spark, sf):
     """F1/F2 on table data: pack each vector as float16 bytes, decode with Column expressions and
     with the Arrow decoder; both columns and the largest round-trip error per row."""
@@ -219,4 +235,15 @@ def f16_roundtrip(spark, sf):
     d = packed.select("vec_id", "x", codec.decode_f16("b").alias("col_decoded"), codec.decode_packed("b", "<f2").alias("arrow_decoded"))
     err = F.array_max(F.zip_with("x", "col_decoded", lambda a, b: F.abs(a - b)))
     same = F.aggregate(F.zip_with("col_decoded", "arrow_decoded", lambda a, b: (a == b).cast("int")), F.lit(0), lambda s, v: s + v) == F.size("x")
-    return d.select("vec_id", err.alias("max_abs_err"), same.alias("decoders_agree"))
+    return d.select("vec_id", rnd(err, 12).alias("max_abs_err"), same.alias("decoders_agree"))
+
+
+@register(
+    "scale_to_max",
+    f"""WITH {VECS}, m AS (SELECT vec_id, max(x) AS mx FROM vlong GROUP BY vec_id)
+SELECT v.vec_id, list({rnd_sql('CASE WHEN mx <> 0 THEN x / mx * 2e-1 END', 9)} ORDER BY v.pos) AS scaled
+FROM vlong v JOIN m USING (vec_id) GROUP BY v.vec_id""",
+)
+def scale_to_max(spark, sf):
+    """F16: every vector scaled to a maximum of 0.2, the range of the basis vectors it is shown with."""
+    return S.vectors(spark, sf).select("vec_id", F.transform(V.scale_to_max("x", 0.2), lambda v: rnd(v, 9)).alias("scaled"))

@@ -21,6 +21,7 @@ MODULES = (
     "q_stats",
     "q_relational",
     "q_decomp",
+    "q_bundle",
     "q_judge",
     "q_cluster",
     "q_sample",
@@ -45,11 +46,7 @@ def register(name: str, sql: str | None = None, kind: str = "O") -> Callable[[Qu
 
 def _load() -> None:
     for m in MODULES:
-        try:
-            importlib.import_module(f"{__package__}.{m}")
-        except ModuleNotFoundError as e:  # modules are added as the build proceeds
-            if e.name != f"{__package__}.{m}":
-                raise
+        importlib.import_module(f"{__package__}.{m}")
 
 
 def queries() -> dict[str, QueryFn]:

@@ -90,3 +90,23 @@ def test_vec_std_peak(spark):
     r = df.select(V.vec_std("v").alias("s"), V.peak_to_peak("v").alias("p")).first()
     assert r["s"] == pytest.approx(np.std(x))
     assert r["p"] == 6.0
+
+
+def test_sig_is_the_same_in_both_engines(spark):
+    """10,000 values from 1e-9 to 1e9, ties and powers of ten among them."""
+    import random
+
+    import duckdb
+    import pandas as pd
+
+    from tessera.functions.rounding import sig, sig_sql
+
+    rng = random.Random(3)
+    values = [rng.choice([-1, 1]) * 10 ** rng.uniform(-9, 9) for _ in range(8000)]
+    values += [round(rng.uniform(0, 1000), rng.randint(0, 10)) for _ in range(2000)]
+    values += [-5.036730512e-05, -5.03673049e-05, 0.0, 1217.571375, 999999999.5, *(10.0**k for k in range(-12, 16))]
+    rows = pd.DataFrame({"i": range(len(values)), "v": values})
+    got = {r.i: (r.a, r.b) for r in spark.createDataFrame(rows).select("i", sig("v", 9).alias("a"), sig("v", 5).alias("b")).collect()}
+    want = {i: (a, b) for i, a, b in duckdb.sql(f"SELECT i, {sig_sql('v', 9)}, {sig_sql('v', 5)} FROM rows").fetchall()}
+    assert got == want
+    assert all(abs(got[i][0] - v) <= 0.6e-8 * abs(v) for i, v in enumerate(values))
