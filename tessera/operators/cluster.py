@@ -164,29 +164,79 @@ def quantisation_report(points: DataFrame, assigned: DataFrame, k: int, vec: str
     )
 
 
-def kpp_rounds(points: DataFrame, vec: str = "x", key: str = "vec_id", rounds: int = 5, oversample: float = 2.0, seed: int = 7):
-    """Centres picked in rounds with probability ~ l * d^2 / sum d^2 (the k-means|| scheme).
+def nearest_of(points: DataFrame, centres: DataFrame, vec: str = "x", block_entries: int = MAX_CODEBOOK_ENTRIES) -> DataFrame:
+    """``points`` with ``cluster`` and ``d2`` lowered to the nearest of ``centres`` (cid bigint, c array<double>).
 
-    Returns (number of centres, mean distance of points to their nearest centre) after each round:
-    the curve used to estimate intrinsic dimension.  The picks use a hash of (key, round) so runs
-    are deterministic.  Each round's new centres (expected ``oversample``) are collected: the
-    codebook grows by a bounded amount per round and is size-checked on every broadcast.
+    For codebooks of any size: the centres are split into blocks of about ``block_entries`` numbers by the hash of their
+    id, the points meet one broadcast block after the other, and the least (distance, id) is kept, so only one
+    block is held at a time. Points that come with ``cluster`` and ``d2`` keep them where they are nearer; so a
+    growing set of centres needs only its new ones.
     """
-    first = points.orderBy(hash_order(key, seed), F.col(key)).limit(1).select(to_double_array(vec).alias("_x")).collect()
-    C = np.array([first[0]["_x"]], dtype=np.float64)
-    curve = []
-    base = points.select(key, to_double_array(vec).alias(vec))
-    for r in range(rounds):
-        a = cut_lineage(assign_nearest(base, C, vec, keep=[key, vec]))
-        tot = a.agg(F.sum("d2").alias("s"), F.avg(F.sqrt("d2")).alias("m")).first()
-        curve.append((len(C), float(tot["m"] or 0.0)))
-        if not tot["s"]:
+    if not {"cluster", "d2"} <= set(points.columns):
+        points = points.withColumn("cluster", F.lit(None).cast("bigint")).withColumn("d2", F.lit(float("inf")))
+    keep = [c for c in points.columns if c not in (vec, "cluster", "d2")]
+    points = points.select(*keep, to_double_array(vec).alias(vec), "cluster", "d2")
+    size = centres.agg(F.count(F.lit(1)).alias("k"), F.max(F.size("c")).alias("d")).first()
+    # half of the limit, as hashing doesn't cut evenly
+    blocks = max(1, math.ceil(2 * size["k"] * (size["d"] or 0) / block_entries))
+    context = points.sparkSession.sparkContext
+    for b in range(blocks if size["k"] else 0):
+        block = centres.where(F.pmod(F.xxhash64("cid"), F.lit(blocks)) == b).select("cid", "c").orderBy("cid").toArrow()
+        if not block.num_rows:
+            continue
+        C = block["c"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(block.num_rows, -1)
+        shared = context.broadcast((block["cid"].to_numpy(), C))
+
+        def lower(batches, shared=shared):
+            import pyarrow as pa
+
+            ids, C = shared.value
+            for batch in batches:
+                n = batch.num_rows
+                if not n:
+                    continue
+                at = batch.schema.get_field_index(vec)
+                X = batch.column(at).flatten().to_numpy(zero_copy_only=False).reshape(n, -1)
+                none = np.iinfo(np.int64).max
+                best = batch.column(at + 1).fill_null(none).to_numpy(zero_copy_only=False).copy()
+                d2 = batch.column(at + 2).to_numpy(zero_copy_only=False).copy()
+                for cid, c in zip(ids, C):
+                    diff = X - c
+                    d = (diff * diff).sum(axis=1)
+                    nearer = (d < d2) | ((d == d2) & (cid < best))
+                    d2[nearer], best[nearer] = d[nearer], cid
+                cols = [batch.column(k) for k in range(at + 1)]
+                yield pa.RecordBatch.from_arrays([*cols, pa.array(best, mask=best == none), pa.array(d2)], names=batch.schema.names)
+
+        points = points.mapInArrow(lower, points.schema)
+    return points
+
+
+def centre_curve(points: DataFrame, vec: str = "x", key: str = "vec_id", fraction: float = 0.1, rounds: int = 12, seed: int = 7):
+    """Centres picked in rounds with probability ~ d^2 / sum d^2 (the k-means|| scheme), up to about ``fraction`` of all points.
+
+    Returns (number of centres, mean distance of points to their nearest centre) after each round: the curve
+    used to estimate intrinsic dimension. The number of centres grows by a constant factor from round to round. Centres
+    stay a table; every round compares the points with that round's new centres only and keeps the least
+    distance as a column (one checkpoint of the points each round). Picks are by a hash of (key, round), so runs
+    are deterministic. The last round's picks are compared too: the curve ends at the full set.
+    """
+    n = points.count()
+    if not n:
+        return []
+    target = max(1, math.ceil(fraction * n))
+    state = points.select(key, to_double_array(vec).alias(vec))
+    new = state.orderBy(hash_order(key, seed), F.col(key)).limit(1)
+    count, curve = 1, []
+    for r in range(rounds + 1):
+        state = cut_lineage(nearest_of(state, new.select(F.hash(key).cast("bigint").alias("cid"), F.col(vec).alias("c")), vec))
+        tot = state.agg(F.sum("d2").alias("s"), F.avg(F.sqrt("d2")).alias("m")).first()
+        curve.append((count, float(tot["m"] or 0.0)))
+        if r == rounds or not tot["s"]:
             break
-        pick = a.where(uniform(key, 1000 * seed + r + 1) < F.lit(oversample) * F.col("d2") / F.lit(float(tot["s"]))).select(vec).collect()
-        if pick:
-            C = np.vstack([C, np.array([p[vec] for p in pick], dtype=np.float64)])
-        if C.size > MAX_CODEBOOK_ENTRIES:
-            raise ValueError(f"{len(C)} centres exceed {MAX_CODEBOOK_ENTRIES} entries: ask for fewer rounds or less oversampling")
+        want = max(1.0, target ** ((r + 1) / rounds) - count)
+        new = cut_lineage(state.where(uniform(key, 1000 * seed + r + 1) < F.lit(want) * F.col("d2") / F.lit(float(tot["s"]))).select(key, vec))
+        count += new.count()
     return curve
 
 

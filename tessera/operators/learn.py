@@ -42,3 +42,24 @@ def gbt_learning_curve(model, train: DataFrame, test: DataFrame, label: str = "l
 def error_rate(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> float:
     r = pred.agg(F.avg((F.col(label).cast("double") != F.col(prediction)).cast("double"))).first()[0]
     return float(r) if r is not None else float("nan")
+
+
+def mlp(layers: Sequence[int], iters: int, features: str, label: str, solver: str = "l-bfgs", step: float = 0.03, start=None, seed: int = 1):
+    """A multilayer perceptron learner; ``start``: a fitted (or reloaded) model whose weights training goes on from."""
+    from pyspark.ml.classification import MultilayerPerceptronClassifier
+
+    est = MultilayerPerceptronClassifier(layers=list(layers), solver=solver, stepSize=step, maxIter=iters, seed=seed, featuresCol=features, labelCol=label)
+    return est if start is None else est.setInitialWeights(start.weights)
+
+
+def mlp_trace(train: DataFrame, parts: dict[str, DataFrame], layers: Sequence[int], rate: float, segments: int, steps: int, features: str, label: str) -> list[tuple]:
+    """(rate, step, error of each part ...) after 0, ``steps``, 2 x ``steps`` ... steps of gradient descent.
+
+    One run in warm-started segments: each goes on from the weights of the one before (Spark's step size falls with
+    the root of the step's number within a segment, so a segment begins at the full rate again). The row at step 0 is that of the seed's own
+    weights, the same for all rates."""
+    rows, model = [], None
+    for k in range(segments + 1):
+        model = mlp(layers, steps if k else 0, features, label, "gd", rate, model).fit(train)
+        rows.append((rate, k * steps, *(error_rate(model.transform(p), label) for p in parts.values())))
+    return rows

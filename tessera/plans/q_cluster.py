@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import numpy as np
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import vec as V
 from ..functions.hashing import hash60_sql
 from ..functions.rounding import rnd
 from ..operators import cluster
+from ..session import cut_lineage
 from . import standins as S
 from .registry import register
 from .sqltext import VECS, rnd_sql
@@ -257,10 +259,25 @@ def cluster_label_errors(spark, sf):
     return out.withColumn("label_error", F.lit(float(1 - correct / total)))
 
 
+@register(
+    "nearest_in_blocks",
+    f"WITH {_INIT}, {_assign_sql('vlong', 'c0', 'a1')} SELECT vec_id, CAST(cluster AS BIGINT) AS cluster, {rnd_sql('d2', 9)} AS d2 FROM a1",
+)
+def nearest_in_blocks(spark, sf):
+    """J5 for codebooks of any size: the codebook is a table whose blocks meet the points one after the other (here
+    three centres a block), merged by the least (distance, centre)."""
+    pts = _points(spark, sf)
+    first = pts.orderBy(cluster.hash_order("vec_id"), "vec_id").limit(K)
+    number = F.row_number().over(Window.orderBy(cluster.hash_order("vec_id"), "vec_id")) - 1  # of K rows
+    book = cut_lineage(first.select(number.cast("bigint").alias("cid"), F.col("x").alias("c")))
+    a = cluster.nearest_of(pts.select("vec_id", "x"), book, block_entries=6 * 64)
+    return a.select("vec_id", "cluster", rnd("d2", 9).alias("d2"))
+
+
 @register("intrinsic_dim")
 def intrinsic_dim(spark, sf):
-    """C9 in rounds (k-means|| style picks), then (ln N1 - ln N2) / (ln d2 - ln d1)."""
-    curve = cluster.kpp_rounds(_points(spark, sf), rounds=6, oversample=4.0)
+    """C9 in rounds (k-means|| style picks) up to a tenth of the points, then (ln N1 - ln N2) / (ln d2 - ln d1)."""
+    curve = cluster.centre_curve(_points(spark, sf))
     dim = cluster.intrinsic_dimension(curve)
     rows = [(i, n, d) for i, (n, d) in enumerate(curve)]
     return spark.createDataFrame(rows, "round int, n_centres int, mean_dist double").withColumn("dimension", F.lit(dim).cast("double"))

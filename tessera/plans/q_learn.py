@@ -6,13 +6,17 @@ the binary task (label % 2), and the raw 64-vector for the 10-class task.  Split
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import vec as V
 from ..functions.hashing import cut
 from ..functions.rounding import rnd
-from ..operators import decomp, learn, sample
+from ..operators import decomp, judge, learn, sample, trees
+from ..session import cut_lineage
 from . import standins as S
 from .registry import register
 
@@ -56,13 +60,14 @@ def gbt_early_stop(spark, sf):
 
 @register("gbt_learning_curve")
 def gbt_learning_curve(spark, sf):
-    """Train / test log-loss per round, and the best round (least test log-loss)."""
+    """Train / test log-loss and error after every round of one fit, and the best round (least test log-loss)."""
     f = features(spark, sf)
-    tr, te = f.where("split = 'train'"), f.where("split = 'test'")
-    m = _gbt(max_iter=30).fit(tr)
-    rows = learn.gbt_learning_curve(m, tr, te)
-    best = min(rows, key=lambda r: r[2])[0]
-    return spark.createDataFrame(rows, "round int, train_logloss double, test_logloss double").withColumn("best_round", F.lit(best))
+    m = _gbt(max_iter=30).fit(f.where("split = 'train'"))
+    curve = trees.staged_errors(trees.staged_margins(f, m, keep=["split", "label"]), by=["split"])
+    side = lambda name: curve.where(F.col("split") == name).select("round", F.col("logloss").alias(f"{name}_logloss"), F.col("error").alias(f"{name}_error"))
+    both = cut_lineage(side("train").join(side("test"), "round"))  # a row for each round
+    best = both.agg(F.min_by("round", F.struct("test_logloss", "round"))).first()[0]
+    return both.withColumn("best_round", F.lit(best))
 
 
 @register("gbt_depth_sweep")
@@ -98,19 +103,28 @@ def multiclass_margins(spark, sf):
     return p.select("vec_id", "label10", vector_to_array("rawPrediction").alias("scores"), "prediction")
 
 
-@register("tree_depth_sweep")
-def tree_depth_sweep(spark, sf):
-    """Decision tree depth 1..10: train error, test error, node count."""
+DEPTHS = range(1, 30)
+
+
+def _tree(depth):
     from pyspark.ml.classification import DecisionTreeClassifier
 
-    f = learn.with_features(features(spark, sf), "x", "vx").cache()
-    tr, te = f.where("split = 'train'"), f.where("split = 'test'")
-    rows = []
-    for d in range(1, 11):
-        m = DecisionTreeClassifier(maxDepth=d, featuresCol="vx", labelCol="label10", seed=1).fit(tr)
-        rows.append((d, learn.error_rate(m.transform(tr), "label10"), learn.error_rate(m.transform(te), "label10"), m.numNodes))
-    f.unpersist()
-    return spark.createDataFrame(rows, "depth int, train_error double, test_error double, num_nodes int")
+    return DecisionTreeClassifier(maxDepth=depth, featuresCol="vx", labelCol="label10", seed=1)
+
+
+@register("tree_depth_sweep")
+def tree_depth_sweep(spark, sf):
+    """Decision tree depth 1..29: train error, test error, node count, all from one tree of depth 29: a row's
+    prediction at depth d is that of the node its path reaches there."""
+    f = learn.with_features(features(spark, sf), "x", "vx")
+    tables = trees.node_tables(spark, _tree(max(DEPTHS)).fit(f.where("split = 'train'")))
+    p = trees.depth_predictions(f, tables, DEPTHS, "vx", ["split", "label10"])
+    e = trees.depth_errors(p, DEPTHS, F.col("label10"), ["split"]).groupBy("depth").agg(
+        F.max(F.when(F.col("split") == "train", F.col("error"))).alias("train_error"),
+        F.max(F.when(F.col("split") == "test", F.col("error"))).alias("test_error"),
+    )
+    counts = F.create_map(*[F.lit(x) for pair in zip(DEPTHS, tables.node_counts(DEPTHS)) for x in pair])
+    return e.withColumn("num_nodes", counts[F.col("depth")])
 
 
 @register("tree_cv")
@@ -129,37 +143,42 @@ def tree_cv(spark, sf):
     return spark.createDataFrame(rows, "depth int, cv_error double")
 
 
-def _forest(spark, sf, trees=7, depth=2):
+#: (trees, depth) of the two forests.
+FORESTS = ((7, 2), (100, 8))
+
+
+def _forest(spark, sf, n_trees=7, depth=2):
     from pyspark.ml.classification import RandomForestClassifier
 
     f = learn.with_features(features(spark, sf), "x", "vx")
-    m = RandomForestClassifier(numTrees=trees, maxDepth=depth, featuresCol="vx", labelCol="label10", seed=1).fit(f.where("split = 'train'"))
+    m = RandomForestClassifier(numTrees=n_trees, maxDepth=depth, featuresCol="vx", labelCol="label10", seed=1).fit(f.where("split = 'train'"))
     return m, f
 
 
+def _both_forests(spark, sf):
+    """(n_trees, vec_id, label10, votes, probability, prediction) of the test rows under both forests: one pass each."""
+    parts = []
+    for n, depth in FORESTS:
+        m, f = _forest(spark, sf, n, depth)
+        v = trees.forest_votes(f.where("split = 'test'"), m, "vx", ["vec_id", "label10"])
+        # the first of the largest
+        best = (F.array_position("probability", F.array_max("probability")) - 1).cast("double")
+        parts.append(v.select(F.lit(n).alias("n_trees"), "*", best.alias("prediction")))
+    return parts[0].unionByName(parts[1])
+
+
 @register("forest_fit")
 def forest_fit(spark, sf):
-    """Random forest (7 trees, depth 2); test predictions and class probabilities."""
-    from pyspark.ml.functions import vector_to_array
-
-    m, f = _forest(spark, sf)
-    p = m.transform(f.where("split = 'test'"))
-    return p.select("vec_id", "label10", "prediction", vector_to_array("probability").alias("probability"))
+    """Random forests (7 trees of depth 2, 100 of depth 8); test predictions and class probabilities."""
+    return _both_forests(spark, sf).select("n_trees", "vec_id", "label10", "prediction", "probability")
 
 
 @register("forest_votes")
 def forest_votes(spark, sf):
-    """Each tree's hard vote beside the forest's prediction, long form (vec_id, tree, vote)."""
-    m, f = _forest(spark, sf)
-    test = f.where("split = 'test'").select("vec_id", "vx", "label10")
-    parts = []
-    for i, t in enumerate(m.trees):
-        parts.append(t.transform(test).select("vec_id", F.lit(i).alias("tree"), F.col("prediction").alias("vote")))
-    forest = m.transform(test).select("vec_id", F.lit(-1).alias("tree"), F.col("prediction").alias("vote"))
-    out = forest
-    for p in parts:
-        out = out.unionByName(p)
-    return out
+    """Each tree's hard vote beside the forest's prediction (tree -1), long form, for both forests; all trees
+    of a forest vote in one pass."""
+    v = _both_forests(spark, sf).select("n_trees", "vec_id", F.posexplode(F.concat(F.array("prediction"), "votes")).alias("tree", "vote"))
+    return v.withColumn("tree", F.col("tree") - 1)
 
 
 @register(
@@ -205,33 +224,27 @@ def logistic_fit(spark, sf):
     return spark.createDataFrame(rows, "split string, error double")
 
 
-def _mlp(layers, solver="l-bfgs", step=0.03, iters=100):
-    from pyspark.ml.classification import MultilayerPerceptronClassifier
-
-    return MultilayerPerceptronClassifier(layers=layers, solver=solver, stepSize=step, maxIter=iters, seed=1, featuresCol="vx", labelCol="label10")
-
-
 @register("mlp_fit")
 def mlp_fit(spark, sf):
     """Two hidden sigmoid layers, softmax output (64-32-32-10)."""
     f = learn.with_features(features(spark, sf), "x", "vx")
-    m = _mlp([64, 32, 32, 10]).fit(f.where("split = 'train'"))
+    m = learn.mlp([64, 32, 32, 10], 100, "vx", "label10").fit(f.where("split = 'train'"))
     rows = [("train", learn.error_rate(m.transform(f.where("split = 'train'")), "label10")),
             ("test", learn.error_rate(m.transform(f.where("split = 'test'")), "label10"))]
     return spark.createDataFrame(rows, "split string, error double")
 
 
+RATES, SEGMENTS, STEPS = (0.1, 0.01, 0.001), 3, 100
+
+
 @register("rate_sweep")
 def rate_sweep(spark, sf):
-    """Gradient-descent MLP at step sizes 0.1, 0.01, 0.001; train and test error each."""
-    f = learn.with_features(features(spark, sf), "x", "vx").cache()
-    tr, te = f.where("split = 'train'"), f.where("split = 'test'")
-    rows = []
-    for rate in (0.1, 0.01, 0.001):
-        m = _mlp([64, 16, 10], solver="gd", step=rate, iters=50).fit(tr)
-        rows.append((rate, learn.error_rate(m.transform(tr), "label10"), learn.error_rate(m.transform(te), "label10")))
+    """Gradient descent at step sizes 0.1, 0.01, 0.001; train and test error after every 100 steps."""
+    f = learn.with_features(features(spark, sf), "x", "vx").select("split", "vx", "label10").cache()
+    parts = {s: f.where(F.col("split") == s) for s in ("train", "test")}
+    rows = [r for rate in RATES for r in learn.mlp_trace(parts["train"], parts, [64, 16, 10], rate, SEGMENTS, STEPS, "vx", "label10")]
     f.unpersist()
-    return spark.createDataFrame(rows, "rate double, train_error double, test_error double")
+    return spark.createDataFrame(rows, "rate double, step int, train_error double, test_error double")
 
 
 @register("pipeline_estimator")
@@ -256,14 +269,27 @@ def pipeline_estimator(spark, sf):
     return spark.createDataFrame([(float(acc),)], "test_accuracy double")
 
 
+SPLITS, ROUNDS = 10, (10, 100)
+
+
 @register("margin_stability")
 def margin_stability(spark, sf):
-    """Repeated hash splits (3 seeds) x rounds (5, 20): test error of each fit."""
-    f0 = features(spark, sf).drop("split")
-    rows = []
-    for seed in (0, 1, 2):
+    """Ten random splits x (10, 100) rounds: errors of both classes against the margin's threshold on the split's own
+    test rows. One fit of 100 rounds for each split also gives the margins after 10; fits run side by side."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    f0 = cut_lineage(features(spark, sf).drop("split", "x"))
+
+    def one(seed):
         f = sample.hash_split(f0, "vec_id", {"train": 0.7, "test": 0.3}, seed=seed)
-        for rounds in (5, 20):
-            m = _gbt(max_iter=rounds).fit(f.where("split = 'train'"))
-            rows.append((seed, rounds, learn.error_rate(m.transform(f.where("split = 'test'")))))
-    return spark.createDataFrame(rows, "seed int, rounds int, test_error double")
+        m = _gbt(max_iter=max(ROUNDS)).fit(f.where("split = 'train'"))
+        margins = trees.staged_margins(f.where("split = 'test'"), m, keep=["label"])
+        rounds = F.array(*[F.struct(F.lit(r).alias("rounds"), F.element_at("margins", r).alias("margin")) for r in ROUNDS])
+        return margins.select(F.lit(seed).alias("seed"), F.col("label").cast("int").alias("y"), F.explode(rounds).alias("e"))
+
+    with ThreadPoolExecutor(4) as pool:
+        parts = list(pool.map(one, range(SPLITS)))
+    scored = cut_lineage(reduce(DataFrame.unionByName, parts).select("seed", "e.rounds", "y", F.col("e.margin").alias("score")))
+    wrong = ((F.col("score") > 0) != (F.col("y") > 0)).cast("double")
+    whole = scored.groupBy("seed", "rounds").agg(F.avg(wrong).alias("test_error"))
+    return judge.threshold_errors(scored, "y", "score", 1, by=["seed", "rounds"]).join(whole, ["seed", "rounds"])
