@@ -6,17 +6,17 @@ spans of the rendered text. System turns are context in every perspective and no
 
 A conversation is rendered in blocks of ``TURNS`` turn numbers, so no task ever gathers a whole long
 conversation: usually a block is the whole dialogue. A block's rows are cut into parts of ``MAX_ROWS``
-by their rank in (turn, role, text); at_turn is the block's first turn number (-64 with null turns),
-part counts from 0. Blocks in the order of (at_turn, part) make up the dialogue. The SQL renders a
-block in one piece, as part 0: where a block has more than ``MAX_ROWS`` rows, its text is that of the
-parts joined. Participants are joined to the finished blocks, so a turn's text is shuffled
+by their rank in (turn, role, text); at_turn is the block's first turn number, null turns have a block
+of their own with a null at_turn, part counts from 0. Blocks in the order of (at_turn, part), null first,
+make up the dialogue; mask spans count from the beginning of their block's text. The rule is the same at
+every size, and in the SQL. Participants are joined to the finished blocks, so a turn's text is shuffled
 once; only built-in functions are used.
 
 Edge cases: rows that repeat in all four columns are one turn; rows that tie in (conv_id, turn) follow
 by role, then text; a null role is "unknown", a null text empty, a null turn comes first, a null
 conv_id is a conversation of its own; a conversation of system turns only has no participant and no
-row; markers inside a text are broken up, so a text can't forge a turn; extra columns are ignored; an
-empty table gives an empty result.
+row; markers inside a text are broken up, so a text can't forge a turn; a very long text is a line like any
+other and never cut; extra columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -38,7 +38,7 @@ def matched(rows: DataFrame, crowded: DataFrame, how: str) -> DataFrame:
     """Semi or anti join of ``rows`` by the blocks in ``crowded``, SALTS keys for each."""
     keys = crowded.select(F.col("conv_id").alias("k_conv"), F.col("chunk").alias("k_chunk"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("k_salt"))
     salted = rows.withColumn("salt", F.pmod(F.xxhash64("turn", "role", "text"), F.lit(SALTS)))
-    on = F.col("conv_id").eqNullSafe(F.col("k_conv")) & (F.col("chunk") == F.col("k_chunk")) & (F.col("salt") == F.col("k_salt"))
+    on = F.col("conv_id").eqNullSafe(F.col("k_conv")) & F.col("chunk").eqNullSafe(F.col("k_chunk")) & (F.col("salt") == F.col("k_salt"))
     return salted.join(keys, on, how).drop("salt")
 
 
@@ -50,15 +50,15 @@ def ranked(rows: DataFrame, crowded: DataFrame) -> DataFrame:
     hot = global_row_number(matched(rows, crowded, "left_semi"), order).withColumn("stretch", F.floor(F.col("rn") / MAX_ROWS))
     pieces = hot.groupBy("conv_id", "chunk", "stretch").agg(F.min("rn").alias("low"))
     first = pieces.groupBy(F.col("conv_id").alias("k_conv"), F.col("chunk").alias("k_chunk")).agg(F.min("low").alias("first"))
-    pieces = pieces.join(first, F.col("conv_id").eqNullSafe(F.col("k_conv")) & (F.col("chunk") == F.col("k_chunk")))
+    pieces = pieces.join(first, F.col("conv_id").eqNullSafe(F.col("k_conv")) & F.col("chunk").eqNullSafe(F.col("k_chunk")))
     pieces = pieces.select("k_conv", "k_chunk", F.col("stretch").alias("k_stretch"), "first")
-    hot = hot.join(pieces, F.col("conv_id").eqNullSafe(F.col("k_conv")) & (F.col("chunk") == F.col("k_chunk")) & (F.col("stretch") == F.col("k_stretch")))
+    hot = hot.join(pieces, F.col("conv_id").eqNullSafe(F.col("k_conv")) & F.col("chunk").eqNullSafe(F.col("k_chunk")) & (F.col("stretch") == F.col("k_stretch")))
     return hot.select(*order, F.floor((F.col("rn") - F.col("first")) / MAX_ROWS).alias("part"))
 
 
 def blocks(turns: DataFrame) -> DataFrame:
     """(conv_id, chunk, part, lines array<struct<turn,role,text>>): at most MAX_ROWS lines."""
-    chunk = F.coalesce(F.floor(F.col("turn") / TURNS), F.lit(-1)).cast("bigint").alias("chunk")
+    chunk = F.floor(F.col("turn") / TURNS).cast("bigint").alias("chunk")
     rows = turns.select(
         "conv_id", "turn",
         F.coalesce("role", F.lit("unknown")).alias("role"),
@@ -110,16 +110,17 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL = f"""
-WITH r AS (SELECT DISTINCT conv_id, turn, coalesce(role, 'unknown') AS role, replace(coalesce(text, ''), '<|', '< |') AS text,
-                  coalesce(CAST(floor(turn / {TURNS}.0) AS BIGINT), -1) AS chunk FROM conversations),
+WITH d AS (SELECT DISTINCT conv_id, turn, coalesce(role, 'unknown') AS role, replace(coalesce(text, ''), '<|', '< |') AS text,
+                  CAST(floor(turn / {TURNS}.0) AS BIGINT) AS chunk FROM conversations),
+r AS (SELECT *, (row_number() OVER (PARTITION BY conv_id, chunk ORDER BY turn NULLS FIRST, role, text) - 1) // {MAX_ROWS} AS part FROM d),
 p AS (SELECT DISTINCT conv_id, role AS speaker FROM r WHERE role <> '{SYSTEM}'),
 x AS (SELECT r.*, speaker, role = speaker AS own,
              '<|im_start|>' || CASE WHEN role = speaker THEN 'assistant' WHEN role = '{SYSTEM}' THEN 'system' ELSE 'user name=' || role END || chr(10) AS head
       FROM r JOIN p ON r.conv_id IS NOT DISTINCT FROM p.conv_id),
-y AS (SELECT *, coalesce(sum(length(head) + length(text) + 11) OVER (PARTITION BY conv_id, speaker, chunk ORDER BY turn NULLS FIRST, role, text
+y AS (SELECT *, coalesce(sum(length(head) + length(text) + 11) OVER (PARTITION BY conv_id, speaker, chunk, part ORDER BY turn NULLS FIRST, role, text
              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + length(head) AS a FROM x)
-SELECT conv_id, speaker, chunk * {TURNS} AS at_turn, CAST(0 AS BIGINT) AS part, count(*) AS n_turns, count(*) FILTER (own) AS n_own,
+SELECT conv_id, speaker, chunk * {TURNS} AS at_turn, CAST(part AS BIGINT) AS part, count(*) AS n_turns, count(*) FILTER (own) AS n_own,
        string_agg(head || text || '<|im_end|>' || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS text,
        coalesce(string_agg(CAST(a AS BIGINT) || ':' || CAST(a + length(text) AS BIGINT), ',' ORDER BY turn NULLS FIRST, role, text) FILTER (own), '') AS mask
-FROM y GROUP BY conv_id, speaker, chunk
+FROM y GROUP BY conv_id, speaker, chunk, part
 """

@@ -9,7 +9,7 @@ def brute(turns):
     """One rendering for each conversation and participant, with the assistant's spans."""
     by = defaultdict(set)
     for conv, turn, role, text, *_ in turns:
-        by[conv].add((-1 if turn is None else turn, role or "unknown", (text or "").replace("<|", "< |")))
+        by[conv].add((float('-inf') if turn is None else turn, role or "unknown", (text or "").replace("<|", "< |")))
     out = {}
     for conv, rows in by.items():
         for speaker in {r for _, r, _ in rows} - {"system"}:
@@ -26,7 +26,7 @@ def brute(turns):
 def joined(df):
     """Blocks put together again."""
     out = {}
-    for r in sorted(df.collect(), key=lambda r: (r.at_turn, r.part)):
+    for r in sorted(df.collect(), key=lambda r: (r.at_turn is not None, r.at_turn or 0, r.part)):
         text, mask = out.get((r.conv_id, r.speaker), ("", []))
         out[r.conv_id, r.speaker] = (text + r.text, mask + [(len(text) + s.start, len(text) + s.end) for s in r["mask"]])
     return out
@@ -62,11 +62,27 @@ def test_crowded_blocks_in_order(spark, rng):
     blocks = {}
     for r in chat.rotate(df).collect():
         blocks.setdefault((r.conv_id, r.speaker, r.at_turn), {})[r.part] = r.n_turns
-    assert {k[2] for k in blocks} == {0, 64, -64} and (2, "ann", 0) in blocks
+    assert {k[2] for k in blocks} == {0, 64, -64, None} and (2, "ann", 0) in blocks
     for sizes in blocks.values():
         assert sorted(sizes) == list(range(len(sizes)))
         assert all(sizes[p] == chat.MAX_ROWS for p in range(len(sizes) - 1)) and 0 < sizes[len(sizes) - 1] <= chat.MAX_ROWS
 
 
+def test_equals_its_sql_at_every_size(spark, rng, tmp_path):
+    """Crowded blocks, null turns, turns far below 0 and a very long text: the registered SQL's own rows."""
+    import duckdb
+
+    turns = [(1, rng.choice([0, 1, 1, 70, -200]), rng.choice(["ann", "bob", "system", None]), f"t {rng.random()}") for _ in range(1500)]
+    turns += [(2, 0, "ann", f"text {i}") for i in range(301)] + [(2, None, "bob", "first"), (2, -300, "ann", "early")]
+    turns += [(None, None, "ann", f"n {i}") for i in range(300)] + [(3, 1, "ann", "long " * 200000), (3, 2, "bob", "<|x")]
+    spark.createDataFrame(turns, "conv_id bigint, turn bigint, role string, text string").repartition(4).write.parquet(f"{tmp_path}/conversations.parquet")
+    got = chat.op9_chat(spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    want = con.execute(chat.SQL)
+    names = [d[0] for d in want.description]
+    assert sorted(map(str, (tuple(r[c] for c in names) for r in got.collect()))) == sorted(map(str, want.fetchall()))
+
+
 def test_empty_table(spark):
     assert chat.rotate(spark.createDataFrame([], KINDS)).count() == 0
