@@ -17,7 +17,7 @@ expression, 0.9 for a notice phrase; 0 without any.
 
 Edge cases: null text is the empty text (no words, no labels, score 0); a tag without a readable
 expression gives no label; an unbalanced bracket or a dangling operator ends the expression before
-it; rows are handled one by one, other columns are ignored, an empty table gives an empty result.
+it; a very long text is read whole, in time that grows with its length; rows are handled one by one, other columns are ignored, an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -150,11 +150,16 @@ def scan_texts(texts: list[bytes], automaton) -> list[dict]:
         line = b" ".join([b"", *words, b""]) if words else b""
         places, labels, strict = [], set(), 0
         tagged = False
-        for end, (phrase, label) in automaton.iter(line.decode("latin-1")):
+        matches = [(end - len(phrase) + 1, phrase, label) for end, (phrase, label) in automaton.iter(line.decode("latin-1"))]
+        word, at = {}, 0  # blanks before each start, counted once along the line
+        for start in sorted({s for s, _, label in matches if label is not None}):
+            word[start] = word.get(at, 0) + line.count(b" ", at, start)
+            at = start
+        for start, phrase, label in matches:
             if label is None:
                 tagged = True
                 continue
-            places.append({"label": label, "word": line.count(b" ", 0, end - len(phrase) + 1), "base": phrase.strip() in BASE_PHRASES})
+            places.append({"label": label, "word": word[start], "base": phrase.strip() in BASE_PHRASES})
             labels.add(label)
         miss = 0.1 ** len(labels)
         expressions = []

@@ -88,3 +88,19 @@ def test_plain_tags(spark):
     assert {t: rows[i].labels for i, t in enumerate(texts)} == want
     assert all((rows[i].score > 0) == bool(want[t]) for i, t in enumerate(texts))
     assert rows[0].strictness == 1 and rows[0].expressions == ["mit apache-2.0 or"]
+
+
+def test_many_places_in_one_text_take_linear_time():
+    import time
+
+    import ahocorasick
+
+    automaton = ahocorasick.Automaton()
+    for phrase, label in licenses.BASE_PHRASES.items():
+        automaton.add_word(f" {phrase} ", (f" {phrase} ", label))
+    automaton.make_automaton()
+    text = b"under the MIT license, cc-by-nc. " * 16000
+    began = time.process_time()
+    (row,) = licenses.scan_texts([text], automaton)
+    assert time.process_time() - began < 2
+    assert [p["word"] for p in row["places"][:4]] == [0, 4, 7, 11] and len(row["places"]) == 32000 and row["places"][-1]["word"] == row["n_words"] - 3
