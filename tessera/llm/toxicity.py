@@ -42,6 +42,8 @@ CLASSES = 6  # log-odds classes of lexicon words; 0: no lexicon word
 FEATURES = 3 * CLASSES + 2  # own class, previous, next, capitals, symbol
 
 WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
+#: The same words in Java's spelling, for the lexicon.
+WORD_SQL = r"[\p{L}\p{Nl}\p{No}]+(?:['’][\p{L}\p{Nl}\p{No}]+)*"
 ENDS = re.compile(r"[.!?\n]+")
 
 
@@ -69,7 +71,8 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def lexicon(train: DataFrame) -> DataFrame:
     """(word, odds): words that stand in toxic texts significantly more often than in others."""
     n1, n0 = train.agg(F.sum("toxic"), F.sum(1 - F.col("toxic"))).first()
-    words = train.select("toxic", F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}'’]+"))).alias("word")).where("word <> ''")
+    found = F.regexp_extract_all(F.lower("text"), F.lit(WORD_SQL), F.lit(0))
+    words = train.select("toxic", F.explode(F.array_distinct(found)).alias("word"))
     counts = words.groupBy("word").agg(F.sum("toxic").alias("d1"), F.sum(1 - F.col("toxic")).alias("d0")).where(F.col("d1") >= LEAST_TEXTS)
     odds = F.log((F.col("d1") + 0.5) / (n1 - F.col("d1") + 0.5)) - F.log((F.col("d0") + 0.5) / (n0 - F.col("d0") + 0.5))
     error = F.sqrt(1 / (F.col("d1") + 0.5) + 1 / (F.col("d0") + 0.5))

@@ -99,3 +99,13 @@ def test_chains_without_features_all_count():
     texts = ["one two. one two three four five." * 5000, "bad words here. bad day"]
     there, back = (toxicity.fit(t, y, {"bad": 3}) for t, y in ((texts, [0, 1]), ([texts[0][::-1], texts[1]], [0, 1])))
     assert np.allclose(there["weights"], back["weights"]) and np.allclose(there["edges"], back["edges"])
+
+
+def test_lexicon_and_scorer_cut_words_alike(spark):
+    """Quoted words, doubled quotes, digits and numerals: the lexicon's words are those the field looks up."""
+    texts = ["he said 'blarg' and ‘blarg’", "rock'n'roll ''x'' it''s a_b c3po x² Ⅷ n’t’", "'", "it's Élan’s"]
+    found = spark.createDataFrame([(t,) for t in texts], "text string").selectExpr("text", f"regexp_extract_all(lower(text), r\"{toxicity.WORD_SQL}\", 0) AS w")
+    assert {r.text: r.w for r in found.collect()} == {t: toxicity.WORD.findall(t.lower()) for t in texts}
+    rows = [(f"you 'blarg' {i} there", 1) for i in range(40)] + [(f"hello there {i}", 0) for i in range(400)]
+    words = {r.word for r in toxicity.lexicon(spark.createDataFrame(rows, "text string, toxic int")).collect()}
+    assert "blarg" in words and "'blarg'" not in words
