@@ -40,11 +40,11 @@ from .common import table, text_of
 from .scratch import Scratch
 
 LONGEST, SUPPORT, SHARE, TOP = 4, 30, 80, 2000
-#: Bits of a bitmap: 8 MB, whatever the size of the input.
-FILTER_BITS = 26
-PIECE_BYTES = 500_000
+#: Bits of a bitmap: 4 MB, whatever the size of the input.
+FILTER_BITS = 25
+PIECE_BYTES = 250_000
 SEGMENT_BYTES = 64_000
-FLUSH = 500_000
+FLUSH = 300_000
 #: A lang's phrases are ranked in so many parts first.
 RANK_PARTS = 16
 
@@ -223,11 +223,16 @@ def lang_salt(lang: str) -> int:
 
 
 def _cut(batch, sizes: tuple[int, int]) -> Iterator[list[Segment]]:
-    """Lists of segments of a batch of (text, lang, key)."""
+    """Lists of segments of a batch of (text, lang, key), a few rows held as Python objects at a time."""
     import pyarrow as pa
 
-    columns = [batch.column(0).cast(pa.binary()), batch.column(1), batch.column(2)]
-    return pieces(segments(*(c.to_pylist() for c in columns), sizes[0]), sizes[1])
+    def rows():
+        for at in range(0, batch.num_rows, 100):
+            part = batch.slice(at, 100)
+            columns = [part.column(0).cast(pa.binary()), part.column(1), part.column(2)]
+            yield from segments(*(c.to_pylist() for c in columns), sizes[0])
+
+    return pieces(rows(), sizes[1])
 
 
 def print_counts(docs: DataFrame, n: int, shared, sizes: tuple[int, int], bits: int = 64) -> DataFrame:
@@ -311,7 +316,8 @@ def strings(found: DataFrame, bits: int = 64) -> DataFrame:
         hasher = Hasher(bits)
         kinds = {"size": pa.int32(), "print": pa.int64(), "lang": pa.string(), "phrase": pa.string(), "check": pa.int64()}
         for batch in batches:
-            for at, text, own, lang, listed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for k in range(batch.num_rows):
+                at, text, own, lang, listed = (c[k].as_py() for c in batch.columns)
                 g = Grams(hasher, [Segment(text, own, lang, at)])
                 listed = np.array(listed, np.int64).view(np.uint64)
                 rows = []
@@ -322,7 +328,7 @@ def strings(found: DataFrame, bits: int = 64) -> DataFrame:
                     # a second fingerprint tells phrases of one fingerprint apart
                     both = np.stack([g.prints(n)[here].view(np.int64), g.checks(n, here)], axis=1)
                     _, first = np.unique(both, axis=0, return_index=True)
-                    rows += [(n, int(p), lang, g.text(int(here[k]), n), int(c)) for k, (p, c) in zip(first, both[first], strict=True)]
+                    rows += [(n, int(p), lang, g.text(int(here[j]), n), int(c)) for j, (p, c) in zip(first, both[first], strict=True)]
                 cols = list(zip(*rows, strict=True)) or [[] for _ in kinds]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds.values(), strict=True)], names=list(kinds))
 
