@@ -684,13 +684,13 @@ SELECT yr, {_STATION_COLUMNS} FROM tot GROUP BY yr
 def pivot_year_station(spark, sf):
     """Year x station table of annual totals; duplicates would raise.  Columns: the stations of the
     dimension table, at most ``_MAX_STATIONS``."""
-    s = S.nation_year_series(spark, sf).select("yr", "station", V.vsum("v").alias("v"))
+    s = S.nation_year_series(spark, sf).select("yr", "station", sig(V.vsum("v"), 11).alias("v"))
     stations = S.table(spark, sf, "nation", "n_nationkey").distinct().limit(_MAX_STATIONS + 1)
     names = sorted(r["n_nationkey"] for r in stations.collect())
     if len(names) > _MAX_STATIONS:
         raise ValueError(f"more than {_MAX_STATIONS} stations can't become columns")
     p = series.pivot_wide(s, "yr", "station", "v", names)
-    return p.select("yr", *[sig(F.col(f"`{c}`"), 11).alias(str(c)) for c in names])
+    return p.select("yr", *[F.col(f"`{c}`").alias(str(c)) for c in names])
 
 
 @register(
