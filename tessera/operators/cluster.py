@@ -47,7 +47,14 @@ def codebook(means: DataFrame, group: str, pos: str = "pos", value: str = "mean"
 
 
 def _matrix(col: pd.Series, d: int) -> np.ndarray:
-    return np.array([np.asarray(r, dtype=np.float64) if r is not None else np.full(d, np.nan) for r in col], dtype=np.float64).reshape(len(col), d)
+    """Rows of ``d`` numbers as one array; missing vectors and vectors of another length are NaN or an error."""
+    if not col.isna().any():
+        return np.concatenate(col.to_numpy()).astype(np.float64, copy=False).reshape(len(col), d)
+    out = np.full((len(col), d), np.nan)
+    there = col.notna().to_numpy()
+    if there.any():
+        out[there] = np.concatenate(col[there].to_numpy()).astype(np.float64, copy=False).reshape(-1, d)
+    return out
 
 
 def score_matrix(df: DataFrame, centres: np.ndarray, vec: str = "x", keep: Sequence[str] | None = None, out: str = "scores") -> DataFrame:
@@ -108,16 +115,42 @@ def assign_nearest(df: DataFrame, centres: np.ndarray, vec: str = "x", keep: Seq
     return src.mapInPandas(run, schema)
 
 
+def moved_centres(points: DataFrame, centres: np.ndarray, vec: str = "x") -> DataFrame:
+    """Centres after one Lloyd step as a table (cid, pos, centre): the means of the points assigned to each; a centre
+    without points stays (its numbers are added by a left-over join against k x d rows)."""
+    a = assign_nearest(points, centres, vec, keep=[vec])
+    means = group_means(a.select(F.col("cluster").alias("cid"), vec), "cid", vec).withColumnRenamed("mean", "centre")
+    k, d = np.asarray(centres).shape
+    old = [(int(c), int(p), float(centres[c, p])) for c in range(k) for p in range(d)]
+    book = points.sparkSession.createDataFrame(old, "cid int, pos int, centre double")
+    return means.unionByName(book.join(means.select("cid", "pos"), ["cid", "pos"], "left_anti"))
+
+
 def lloyd_step(points: DataFrame, centres: np.ndarray, vec: str = "x", key: str = "vec_id") -> tuple[np.ndarray, DataFrame]:
     """One Lloyd iteration: assign, then move centres to cluster means (empty cluster keeps its centre)."""
     a = assign_nearest(points, centres, vec, keep=[key, vec])
     means = group_means(a.select("cluster", vec), "cluster", vec)
     new = np.array(centres, dtype=np.float64, copy=True)
-    for r in means.collect():  # k x d rows
+    for r in means.limit(MAX_CODEBOOK_ENTRIES).collect():  # k x d rows
         new[r["cluster"], r["pos"]] = r["mean"]
     return new, a
 
 
+def lloyd(points: DataFrame, centres: np.ndarray, steps: int, vec: str = "x", key: str = "vec_id") -> np.ndarray:
+    """``steps`` Lloyd steps; only the k x d centres come back between steps."""
+    for _ in range(steps):
+        centres, _ = lloyd_step(points, centres, vec, key)
+    return centres
+
+
+def matched_centres(found: DataFrame, true: DataFrame) -> DataFrame:
+    """Each found centre (cid, pos, centre) with the nearest true one (label, pos, mean; ties: the smaller label) and their
+    distance. Both are codebooks, so the pairs of one position are at most k^2."""
+    j = found.join(true, "pos").groupBy("cid", "label").agg(F.sum(F.pow(F.col("centre") - F.col("mean"), 2)).alias("_d2"))
+    best = j.groupBy("cid").agg(F.min(F.struct(F.bround("_d2", 9).alias("d2"), "label")).alias("_b"))
+    return best.select("cid", F.col("_b.label").alias("label"), F.sqrt("_b.d2").alias("distance"))
+
+
 def kmeans_errors(assigned: DataFrame, d: int) -> DataFrame:
     """RMS over all coordinates sqrt(sum d2 / (n d)) and per-point RMSE sqrt(sum d2 / n)."""
     return assigned.agg(

@@ -44,7 +44,8 @@ def dense_grid(spark: SparkSession, labels: Sequence[int], a: str, b: str) -> Da
     return g.select(lab[(F.col("id") / k).cast("int")].alias(a), lab[(F.col("id") % k).cast("int")].alias(b))
 
 
-MAX_LABELS = 10_000
+#: The grid has the square of this many cells at most.
+MAX_LABELS = 500
 
 
 def confusion_matrix(df: DataFrame, true: str, pred: str, labels: Sequence[int] | None = None, max_labels: int = MAX_LABELS) -> DataFrame:
@@ -91,20 +92,36 @@ def label_diagnostics(df: DataFrame, label: str, topk: str = "topk") -> DataFram
     return best_pair.unionByName(best_diff).unionByName(never).unionByName(best_missed)
 
 
-def roc_points(df: DataFrame, label: str, score: str) -> DataFrame:
-    """ROC over every distinct score, descending: (threshold, fpr, tpr); all points kept, plus (0, 0)."""
+def _roc_steps(df: DataFrame, label: str, score: str) -> DataFrame:
+    """One row for each distinct score, descending: its counts of both classes, the counts down to it, and all counts
+    (one row, read from the ordered table's checkpoint, so scores are evaluated once)."""
     per = df.groupBy(F.col(score).alias("threshold")).agg(
         F.sum((F.col(label) == 1).cast("long")).alias("pos"), F.sum((F.col(label) != 1).cast("long")).alias("neg")
     )
     cum = global_cumsum(per, [F.desc("threshold")], ["pos", "neg"])
-    tot = per.agg(F.sum("pos").alias("_P"), F.sum("neg").alias("_N"))  # one row; a rate without its class is NULL
-    pts = cum.join(F.broadcast(tot)).select("threshold", F.try_divide("neg_cum", "_N").alias("fpr"), F.try_divide("pos_cum", "_P").alias("tpr"))
+    tot = cum.agg(F.sum("pos").alias("_P"), F.sum("neg").alias("_N"))
+    return cum.join(F.broadcast(tot))
+
+
+def roc_points(df: DataFrame, label: str, score: str) -> DataFrame:
+    """ROC over every distinct score, descending: (threshold, fpr, tpr); all points kept, plus (0, 0).
+    A rate without its class is NULL."""
+    pts = _roc_steps(df, label, score).select(
+        "threshold", F.try_divide("neg_cum", "_N").alias("fpr"), F.try_divide("pos_cum", "_P").alias("tpr")
+    )
     lead = df.sparkSession.range(1).select(F.lit(None).cast("double").alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
     return lead.unionByName(pts)
 
 
+def auc(df: DataFrame, label: str, score: str) -> DataFrame:
+    """Trapezoid area under the ROC of scored rows. Each distinct score adds its step in fpr times the mean tpr before and
+    after it; both follow from its own and its running counts, so points need not be paired."""
+    mean_tpr = F.try_divide(F.col("pos_cum") - F.col("pos") / 2, F.col("_P"))
+    return _roc_steps(df, label, score).agg(F.sum(F.try_divide("neg", "_N") * mean_tpr).alias("auc"))
+
+
 def roc_auc(roc: DataFrame) -> DataFrame:
-    """Trapezoid area under the ROC points (pairs of consecutive points joined by rank)."""
+    """Trapezoid area under given ROC points (pairs of consecutive points joined by rank)."""
     pts = roc.where(F.col("threshold").isNotNull())
     ranked = global_cumsum(pts.withColumn("_one", F.lit(1.0)), [F.desc("threshold")], ["_one"]).withColumnRenamed("_one_cum", "_r")
     prev = ranked.select((F.col("_r") + 1).alias("_r"), F.col("fpr").alias("_f0"), F.col("tpr").alias("_t0"))
@@ -131,37 +148,37 @@ def roc_thresholds(roc: DataFrame, hi_tpr: float = 0.95, lo_tpr: float = 0.6) ->
 
 def threshold_errors(df: DataFrame, label: str, score: str, digits: int = 2, by: Sequence[str] = ()) -> DataFrame:
     """For every distinct rounded score t (the thresholds): err1 = share of class 1 with score <= t,
-    err0 = share of class 0 with score > t.  Rows are counted per bucket (the smallest threshold
-    >= score) and summed cumulatively -- no thresholds x rows join."""
+    err0 = share of class 0 with score > t.
+
+    Rows are counted by rounded score, those above their rounded score apart: scores <= t are all rows rounded to at
+    most t but for those that t itself was rounded down to. So one running sum over the thresholds is enough, without
+    a join. With ``by`` the running sums are windows in each group, bounded by its score range / 10^-digits. A missing
+    score counts in its class's total and gives a NULL threshold that no score reaches.
+    """
     by = list(by)
-    s = df.select(*by, F.col(label).alias("_y"), F.col(score).cast("double").alias("_s"))
-    s = s.withColumn("_t", F.bround("_s", digits))
-    # rows are counted by (rounded score, side of it) before any join: a few counts for each threshold
-    s = s.groupBy(*by, "_t", (F.col("_s") <= F.col("_t")).alias("_low")).agg(
-        F.sum((F.col("_y") == 1).cast("double")).alias("p"), F.sum((F.col("_y") != 1).cast("double")).alias("q")
+    s = df.select(*by, F.col(label).alias("_y"), F.col(score).cast("double").alias("_s")).withColumn("_t", F.bround("_s", digits))
+    one, other = (F.col("_y") == 1).cast("double"), (F.col("_y") != 1).cast("double")
+    known, above = F.col("_s").isNotNull(), F.col("_s") > F.col("_t")
+    per = s.groupBy(*by, "_t").agg(
+        F.sum(one).alias("_P"), F.sum(other).alias("_N"),
+        F.sum(F.when(known, one).otherwise(0.0)).alias("p"), F.sum(F.when(known, other).otherwise(0.0)).alias("q"),
+        F.sum(F.when(above, one).otherwise(0.0)).alias("_p_up"), F.sum(F.when(above, other).otherwise(0.0)).alias("_q_up"),
     )
-    th = s.select(*by, "_t").distinct()
-    if by:
-        w = Window.partitionBy(*by).orderBy("_t")
-        th = th.withColumn("_next", F.lead("_t").over(w))  # per group: bounded by the score range / 10^-digits
-    else:
-        nxt = global_cumsum(th.withColumn("_one", F.lit(1.0)), [F.col("_t")], ["_one"]).withColumnRenamed("_one_cum", "_r")
-        th = nxt.join(nxt.select((F.col("_r") - 1).alias("_r"), F.col("_t").alias("_next")), "_r", "left").drop("_r")
-    j = s.join(th, by + ["_t"])
-    j = j.withColumn("_b", F.when(F.col("_low"), F.col("_t")).otherwise(F.col("_next")))
-    per = j.where(F.col("_b").isNotNull()).groupBy(*by, F.col("_b").alias("_t")).agg(F.sum("p").alias("p"), F.sum("q").alias("q"))
-    per = th.select(*by, "_t").join(per, by + ["_t"], "left").fillna(0.0, ["p", "q"])
     if by:
-        w = Window.partitionBy(*by).orderBy("_t").rowsBetween(Window.unboundedPreceding, 0)
-        cum = per.select(*by, "_t", F.sum("p").over(w).alias("p_cum"), F.sum("q").over(w).alias("q_cum"))
+        group = Window.partitionBy(*by)
+        run = group.orderBy("_t").rowsBetween(Window.unboundedPreceding, 0)
+        cum = per.select(
+            *by, "_t", "_p_up", "_q_up", F.sum("p").over(run).alias("p_cum"), F.sum("q").over(run).alias("q_cum"),
+            F.sum("_P").over(group).alias("_P"), F.sum("_N").over(group).alias("_N"),
+        )
     else:
         cum = global_cumsum(per, [F.col("_t")], ["p", "q"])
-    tot = s.groupBy(*by).agg(F.sum("p").alias("_P"), F.sum("q").alias("_N"))
-    out = cum.join(tot, by) if by else cum.join(F.broadcast(tot))  # without groups: one row
-    return out.select(
+        tot = cum.agg(F.sum("_P").alias("_P"), F.sum("_N").alias("_N"))  # one row, from the checkpoint
+        cum = cum.drop("_P", "_N").join(F.broadcast(tot))
+    return cum.select(
         *by, F.col("_t").alias("threshold"),
-        F.try_divide(F.col("p_cum"), F.col("_P")).alias("err1"),
-        (F.lit(1.0) - F.try_divide(F.col("q_cum"), F.col("_N"))).alias("err0"),
+        F.try_divide(F.col("p_cum") - F.col("_p_up"), F.col("_P")).alias("err1"),
+        (F.lit(1.0) - F.try_divide(F.col("q_cum") - F.col("_q_up"), F.col("_N"))).alias("err0"),
     )
 
 
@@ -169,17 +186,13 @@ def error_bins(errors: DataFrame, n_bins: int = 20, by: Sequence[str] = ()) -> D
     """Per class and bin = min(floor(err * n), n-1): first and last threshold, over the threshold range.
     An empty bin gives no row."""
     by = list(by)
-    rng = errors.groupBy(*by).agg((F.max("threshold") - F.min("threshold")).alias("_range")) if by else None
+    rng = errors.groupBy(*by).agg((F.max("threshold") - F.min("threshold")).alias("_range"))
     long = errors.select(
         *by, "threshold", F.explode(F.array(F.struct(F.lit(1).alias("cls"), F.col("err1").alias("err")), F.struct(F.lit(0).alias("cls"), F.col("err0").alias("err")))).alias("e")
     ).select(*by, "threshold", "e.cls", "e.err")
     b = F.least(F.floor(F.col("err") * n_bins), F.lit(n_bins - 1)).cast("int")
     g = long.groupBy(*by, "cls", b.alias("bin")).agg(F.min("threshold").alias("t_min"), F.max("threshold").alias("t_max"))
-    if by:
-        g = g.join(rng, by)
-    else:
-        r = errors.agg((F.max("threshold") - F.min("threshold")).alias("_range")).first()["_range"]
-        g = g.withColumn("_range", F.lit(float(r)))
+    g = g.join(rng, by) if by else g.join(F.broadcast(rng))  # without groups: one row
     return g.select(*by, "cls", "bin", F.try_divide(F.col("t_min"), F.col("_range")).alias("lo"), F.try_divide(F.col("t_max"), F.col("_range")).alias("hi"))
 
 

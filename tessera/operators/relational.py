@@ -7,9 +7,16 @@ measured size is under ``spark.sql.autoBroadcastJoinThreshold`` and fall back to
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ordered import global_row_number
+
+#: Ranks up to this one are taken by a top-k: each task keeps that many rows, one task merges them.
+MAX_TOP = 100_000
+
 
 def lookup_fallback(facts: DataFrame, dim: DataFrame, key: str, found: Column, fallback: Column, out: str) -> DataFrame:
     """Left join; ``out`` = found value, else the fallback; ``known`` flags a match. A key that stands
@@ -42,3 +49,17 @@ def top_both_ends(df: DataFrame, value: str, key: str, k: int, label: str = "end
     lo = df.orderBy(F.col(value).asc(), F.col(key).asc()).limit(k).select(F.lit("low").alias(label), *cols)
     hi = df.orderBy(F.col(value).desc(), F.col(key).asc()).limit(k).select(F.lit("high").alias(label), *cols)
     return lo.unionByName(hi)
+
+
+def ranked_slices(df: DataFrame, order: Sequence[Column], slices: Sequence[tuple[int, int]], name: str = "rn") -> DataFrame:
+    """Rows whose rank in ``order`` (total, from 1) lies in one of the slices (first, last), with the rank as ``name``. Where
+    the last wanted rank is at most ``MAX_TOP`` only that many rows are ordered, otherwise all are ranked over partitions."""
+    last = max(b for _, b in slices)
+    if last <= MAX_TOP:
+        r = df.orderBy(*order).limit(last).withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("long"))
+    else:
+        r = global_row_number(df, order, name)
+    keep = F.lit(False)
+    for a, b in slices:
+        keep = keep | F.col(name).between(a, b)
+    return r.where(keep)

@@ -6,7 +6,6 @@ import numpy as np
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..functions import vec as V
 from ..functions.hashing import hash60_sql
 from ..functions.rounding import rnd
 from ..operators import cluster
@@ -69,17 +68,21 @@ def kmeans_error(spark, sf):
 @register("kmeans_step", f"WITH {_INIT}, {_assign_sql('vlong', 'c0', 'a1')}, {_move_sql('a1', 'c0', 'c1')} SELECT cid, pos, {rnd_sql('m', 9)} AS centre FROM c1")
 def kmeans_step(spark, sf):
     """One Lloyd step (C2/A23): assign, then cluster means; an empty cluster keeps its centre."""
-    new, _ = cluster.lloyd_step(_points(spark, sf), _init(spark, sf))
-    return _centres_df(spark, sf, new)
+    return _rounded(cluster.moved_centres(_points(spark, sf), _init(spark, sf)))
 
 
-def _centres_df(spark, sf, C: np.ndarray):
-    """Centres as a long table, built on the executors from the vectors' positions (k x d rows)."""
-    pos = _points(spark, sf).select(F.posexplode("x").alias("pos", "_x")).select("pos").distinct()
-    arr = F.array(*[V.lit_vector(row) for row in C])
-    return pos.select(F.explode(F.sequence(F.lit(0), F.lit(len(C) - 1))).alias("cid"), "pos").select(
-        F.col("cid").cast("int").alias("cid"), "pos", rnd(arr[F.col("cid")][F.col("pos")], 9).alias("centre")
-    )
+def _rounded(centres):
+    return centres.select("cid", "pos", rnd("centre", 9).alias("centre"))
+
+
+def _lloyd_sql(steps: int, first: str = "c0", prefix: str = "") -> str:
+    """CTEs of ``steps`` Lloyd steps from the centres ``first``; the last ones are {prefix}c{steps}."""
+    out, cents = [], first
+    for i in range(1, steps + 1):
+        a, c = f"{prefix}a{i}", f"{prefix}c{i}"
+        out += [_assign_sql("vlong", cents, a), _move_sql(a, cents, c).replace(f"\n{c} AS (", f"\n{c} AS MATERIALIZED (")]
+        cents = c
+    return ", ".join(out)
 
 
 @register(
@@ -89,9 +92,63 @@ def _centres_df(spark, sf, C: np.ndarray):
 )
 def kmeans_two_steps(spark, sf):
     pts = _points(spark, sf)
-    c1, _ = cluster.lloyd_step(pts, _init(spark, sf))
-    c2, _ = cluster.lloyd_step(pts, c1)
-    return _centres_df(spark, sf, c2)
+    return _rounded(cluster.moved_centres(pts, cluster.lloyd(pts, _init(spark, sf), 1)))
+
+
+@register("kmeans_ten_steps", f"WITH {_INIT}, {_lloyd_sql(10)} SELECT cid, pos, {rnd_sql('m', 9)} AS centre FROM c10")
+def kmeans_ten_steps(spark, sf):
+    """C2 over its ten steps."""
+    pts = _points(spark, sf)
+    return _rounded(cluster.moved_centres(pts, cluster.lloyd(pts, _init(spark, sf), 9)))
+
+
+@register(
+    "matched_centres",
+    f"""WITH {_INIT}, {_lloyd_sql(3)},
+t AS (SELECT CAST(label AS INTEGER) AS label, pos, avg(x) AS m FROM vlong GROUP BY 1, 2),
+p AS (SELECT c.cid, t.label, round_even(sum((c.m - t.m) * (c.m - t.m)), 9) AS d2 FROM c3 c JOIN t ON t.pos = c.pos GROUP BY 1, 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY cid ORDER BY d2, label) AS r FROM p)
+SELECT cid, label, {rnd_sql('sqrt(d2)', 6)} AS distance FROM r WHERE r = 1""",
+)
+def matched_centres(spark, sf):
+    """After three Lloyd steps, each centre's nearest mean of a label and the distance between them."""
+    pts = _points(spark, sf)
+    found = cluster.moved_centres(pts, cluster.lloyd(pts, _init(spark, sf), 2))
+    true = cluster.group_means(pts.select(F.col("label").cast("int").alias("label"), "x"), "label")
+    return cluster.matched_centres(found, true).select("cid", "label", rnd("distance", 6).alias("distance"))
+
+
+_STARTS = {
+    "spread": (f"ORDER BY {hash60_sql('vec_id')}, vec_id", ""),
+    "one_label": (f"ORDER BY {hash60_sql('vec_id')}, vec_id", "WHERE label = 0"),
+}
+
+
+def _start_sql(name: str) -> str:
+    order, only = _STARTS[name]
+    return f"""
+{name}_i AS (SELECT vec_id, CAST(row_number() OVER ({order}) - 1 AS INTEGER) AS cid FROM embeddings {only} {order} LIMIT {K}),
+{name}_c0 AS MATERIALIZED (SELECT i.cid, v.pos, v.x AS m FROM {name}_i i JOIN vlong v ON v.vec_id = i.vec_id),
+{_lloyd_sql(3, f'{name}_c0', f'{name}_')}, {_assign_sql('vlong', f'{name}_c3', f'{name}_end')}"""
+
+
+@register(
+    "kmeans_bad_start",
+    f"WITH {VECS}, " + ", ".join(_start_sql(n) for n in _STARTS) + " " + " UNION ALL ".join(
+        f"SELECT '{n}' AS start, {rnd_sql('sqrt(sum(d2) / count(*))', 9)} AS rmse_point, count(DISTINCT cluster) AS n_used, count(*) AS n FROM {n}_end"
+        for n in _STARTS
+    ),
+)
+def kmeans_bad_start(spark, sf):
+    """C3, the "bad init" run: three Lloyd steps from centres drawn among all points, and from ones of a single label."""
+    pts = _points(spark, sf)
+    out = None
+    for name, start in (("spread", pts), ("one_label", pts.where(F.col("label") == 0))):
+        end = cluster.assign_nearest(pts, cluster.lloyd(pts, cluster.first_k_by_hash(start, K), 3), keep=["vec_id"])
+        row = end.agg(F.sqrt(F.sum("d2") / F.count(F.lit(1))).alias("e"), F.countDistinct("cluster").alias("n_used"), F.count(F.lit(1)).alias("n"))
+        row = row.select(F.lit(name).alias("start"), rnd("e", 9).alias("rmse_point"), "n_used", "n")
+        out = row if out is None else out.unionByName(row)
+    return out
 
 
 @register(
@@ -100,13 +157,19 @@ def kmeans_two_steps(spark, sf):
     "FROM a1 JOIN c0 ON c0.cid = a1.cluster GROUP BY 1, 2",
 )
 def vq_decode(spark, sf):
-    """Replace each point by its code's centre (codebook joined on the code, broadcast: k x d)."""
-    C = _init(spark, sf)
-    a = cluster.assign_nearest(_points(spark, sf), C, keep=["vec_id"])
-    book = spark.range(len(C)).select(F.col("id").cast("int").alias("cluster"))
-    arr = F.array(*[V.lit_vector(row) for row in C])
-    book = book.select("cluster", F.transform(arr[F.col("cluster")], lambda x: F.bround(x, 9) + F.lit(0.0)).alias("decoded"))
-    return a.join(F.broadcast(book), "cluster").select("vec_id", "cluster", "decoded")
+    """Replace each point by its code's centre: the codebook stays a table, joined on the code."""
+    pts = _points(spark, sf)
+    book = _first_k(pts)
+    a = cluster.nearest_of(pts.select("vec_id", "x"), book)
+    decoded = book.select(F.col("cid").alias("cluster"), F.transform("c", lambda x: F.bround(x, 9) + F.lit(0.0)).alias("decoded"))
+    return a.join(decoded, "cluster").select("vec_id", F.col("cluster").cast("int").alias("cluster"), "decoded")
+
+
+def _first_k(pts):
+    """The starting centres as a table (cid, c), kept as written."""
+    first = pts.orderBy(cluster.hash_order("vec_id"), "vec_id").limit(K)
+    number = F.row_number().over(Window.orderBy(cluster.hash_order("vec_id"), "vec_id")) - 1  # of K rows
+    return cut_lineage(first.select(number.cast("bigint").alias("cid"), F.col("x").alias("c")))
 
 
 @register(
@@ -267,10 +330,7 @@ def nearest_in_blocks(spark, sf):
     """J5 for codebooks of any size: the codebook is a table whose blocks meet the points one after the other (here
     three centres a block), merged by the least (distance, centre)."""
     pts = _points(spark, sf)
-    first = pts.orderBy(cluster.hash_order("vec_id"), "vec_id").limit(K)
-    number = F.row_number().over(Window.orderBy(cluster.hash_order("vec_id"), "vec_id")) - 1  # of K rows
-    book = cut_lineage(first.select(number.cast("bigint").alias("cid"), F.col("x").alias("c")))
-    a = cluster.nearest_of(pts.select("vec_id", "x"), book, block_entries=6 * 64)
+    a = cluster.nearest_of(pts.select("vec_id", "x"), _first_k(pts), block_entries=6 * 64)
     return a.select("vec_id", "cluster", rnd("d2", 9).alias("d2"))
 
 

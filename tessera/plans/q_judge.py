@@ -155,7 +155,7 @@ pts AS (SELECT fpr, tpr, lag(fpr, 1, 0) OVER (ORDER BY threshold DESC) AS f0, la
 SELECT {rnd_sql('sum((fpr - f0) * (tpr + t0) / 2)', 9)} AS auc FROM pts""",
 )
 def roc_auc(spark, sf):
-    return judge.roc_auc(judge.roc_points(binary(spark, sf), "y", "score")).select(rnd("auc", 9).alias("auc"))
+    return judge.auc(binary(spark, sf), "y", "score").select(rnd("auc", 9).alias("auc"))
 
 
 @register(
@@ -242,16 +242,35 @@ def bootstrap_counts(spark, sf):
     return j.groupBy("rep").agg(F.count(F.lit(1)).alias("n_draws"), F.countDistinct("idx").alias("n_distinct"), F.sum("y").cast("long").alias("n_pos"))
 
 
-@register("bootstrap_band")
+@register(
+    "bootstrap_band",
+    f"""WITH {SCORES},
+rows_ AS (SELECT y, score, row_number() OVER (ORDER BY vec_id) - 1 AS idx FROM bin),
+n AS (SELECT count(*) AS n FROM rows_),
+d AS (SELECT CAST(x // 500 AS INTEGER) AS rep, {_BOOT_IDX} AS idx FROM range(200 * 500) t(x), n),
+samp AS (SELECT d.rep, r.y, r.score FROM d JOIN rows_ r ON r.idx = d.idx),
+th AS (SELECT DISTINCT rep, round_even(score, 2) AS t FROM samp),
+tot AS (SELECT rep, count(*) FILTER (WHERE y = 1) AS P, count(*) FILTER (WHERE y <> 1) AS N FROM samp GROUP BY rep),
+te AS (SELECT th.rep, th.t AS threshold, count(*) FILTER (WHERE s.y = 1 AND s.score <= th.t) / any_value(tot.P) AS err1,
+              1 - count(*) FILTER (WHERE s.y <> 1 AND s.score <= th.t) / any_value(tot.N) AS err0
+       FROM th JOIN samp s ON s.rep = th.rep JOIN tot ON tot.rep = th.rep GROUP BY th.rep, th.t),
+width AS (SELECT rep, max(threshold) - min(threshold) AS r FROM te GROUP BY rep),
+lg AS (SELECT rep, threshold, 1 AS cls, err1 AS err FROM te UNION ALL SELECT rep, threshold, 0, err0 FROM te),
+bins AS (SELECT lg.rep, cls, CAST(least(floor(err * 20), 19) AS INTEGER) AS bin, min(threshold) / any_value(r) AS lo,
+                max(threshold) / any_value(r) AS hi FROM lg JOIN width ON width.rep = lg.rep GROUP BY 1, 2, 3)
+SELECT cls, bin, {rnd_sql('min(lo)', 9)} AS lo, {rnd_sql('max(hi)', 9)} AS hi, count(*) AS n_reps FROM bins GROUP BY 1, 2""",
+)
 def bootstrap_band(spark, sf):
-    """Per replicate threshold errors -> error bins; band = min of lows, max of highs per bin."""
+    """Per replicate threshold errors -> error bins; band = min of lows, max of highs per bin. Only the ids are ranked;
+    the drawn ones (at most replicates x size) meet their scores by id."""
     b = binary(spark, sf)
-    ranked = global_row_number(b, [F.col("vec_id")], "rn").select((F.col("rn") - 1).alias("idx"), "y", "score")
-    d = judge.bootstrap_draws(spark, b.count(), 200, 500)
-    samp = d.join(ranked, "idx").select("rep", "y", "score")
+    ids = global_row_number(S.vectors(spark, sf).select("vec_id"), [F.col("vec_id")], "rn")
+    d = judge.bootstrap_draws(spark, ids.count(), 200, 500).join(ids.select((F.col("rn") - 1).alias("idx"), "vec_id"), "idx")
+    samp = d.select("rep", "vec_id").join(b, "vec_id").select("rep", "y", "score")
     e = judge.threshold_errors(samp, "y", "score", 2, by=["rep"])
     bins = judge.error_bins(e, 20, by=["rep"])
-    return bins.groupBy("cls", "bin").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.count(F.lit(1)).alias("n_reps"))
+    band = bins.groupBy("cls", "bin").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.count(F.lit(1)).alias("n_reps"))
+    return band.select("cls", "bin", rnd("lo", 9).alias("lo"), rnd("hi", 9).alias("hi"), "n_reps")
 
 
 # ---------------------------------------------------------------- vote tables

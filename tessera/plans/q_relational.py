@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import hash60, hash60_sql
@@ -12,6 +11,7 @@ from ..functions import vec as V
 from ..functions.rounding import rnd, sig
 from ..operators import effects, ordered, series, stats
 from ..operators.relational import lookup_fallback, lookup_strict, lookup_unmatched, top_both_ends
+from ..operators.relational import ranked_slices as ranked_slices_of
 from . import standins as S
 from .q_decomp import _decompose_sql, _decomposed
 from .registry import register
@@ -141,10 +141,16 @@ def _price_long(spark, sf):
     ).select("period", "e.name", "e.value")
 
 
+#: Names that may become columns of the price table; more is an error.
+_MAX_PRICE_COLUMNS = 4_000
+
+
 def price_wide(spark, sf):
-    """Pivot of the long price table; the column list is the (bounded) set of brand names."""
+    """Pivot of the long price table; its columns are the names that occur, checked against ``_MAX_PRICE_COLUMNS``."""
     lg = _price_long(spark, sf)
-    names = sorted(r[0] for r in lg.select("name").distinct().collect())
+    names = sorted(r["name"] for r in lg.select("name").distinct().limit(_MAX_PRICE_COLUMNS + 1).collect())
+    if len(names) > _MAX_PRICE_COLUMNS:
+        raise ValueError(f"more than {_MAX_PRICE_COLUMNS} price columns")
     return series.pivot_wide(lg, "period", "name", "value", names)
 
 
@@ -170,13 +176,10 @@ FROM names
 """,
 )
 def partition_columns(spark, sf):
-    """`_D` columns: train first, then test, each sorted by name (from the unpivoted wide table)."""
-    wide = price_wide(spark, sf)
-    cols = series.select_by_pattern(wide)
-    lg = series.unpivot_wide(wide, ["period"], cols, "name", "value")
-    names = lg.select("name").distinct()
-    w = Window.orderBy(F.when(F.col("name").startswith("train/"), 0).otherwise(1), "name")
-    return names.select(F.row_number().over(w).cast("int").alias("ord"), "name")
+    """`_D` columns: train first, then test, each sorted by name, from the long table (no pivot is needed for names)."""
+    names = _price_long(spark, sf).where(F.col("name").endswith("_D")).select("name").distinct()
+    order = [F.when(F.col("name").startswith("train/"), 0).otherwise(1), F.col("name")]
+    return ordered.global_row_number(names, order, "ord").select(F.col("ord").cast("int").alias("ord"), "name")
 
 
 @register(
@@ -242,7 +245,8 @@ FROM sector
 def encode_labels(spark, sf):
     """Name -> number through a small code table (dense rank over distinct sectors), and a 0/1 encode."""
     sec = S.brand_sector(spark, sf)
-    codes = sec.select("sector").distinct().select("sector", (F.dense_rank().over(Window.orderBy("sector")) - 1).cast("int").alias("sector_id"))
+    codes = ordered.global_row_number(sec.select("sector").distinct(), [F.col("sector")], "_rn")
+    codes = codes.select("sector", (F.col("_rn") - 1).cast("int").alias("sector_id"))
     return sec.join(codes, "sector").select(
         "brand", "sector", "sector_id", F.when(F.col("sector") == "ECONOMY", 0).otherwise(1).cast("int").alias("is_other")
     )
@@ -642,11 +646,10 @@ WHERE rn BETWEEN 1 AND 4 OR rn BETWEEN 501 AND 504 OR rn BETWEEN 1001 AND 1004
 """,
 )
 def ranked_slices(spark, sf):
-    """Ranks 1-4, 501-504 and 1001-1004 from the top (distributed global rank)."""
+    """Ranks 1-4, 501-504 and 1001-1004 from the top: a top-1004, then its ranks."""
     e = S.table(spark, sf, "events", "event_id", "value")
-    r = ordered.global_row_number(e, [F.desc("value"), F.col("event_id")], "rn")
-    keep = F.col("rn").between(1, 4) | F.col("rn").between(501, 504) | F.col("rn").between(1001, 1004)
-    return r.where(keep).select(F.col("rn").cast("long").alias("rn"), "event_id", "value")
+    r = ranked_slices_of(e, [F.desc("value"), F.col("event_id")], [(1, 4), (501, 504), (1001, 1004)])
+    return r.select("rn", "event_id", "value")
 
 
 @register(

@@ -120,25 +120,29 @@ pv AS (SELECT p.i, a.vec_id AS a_id, b.vec_id AS b_id FROM pairs p JOIN ids a ON
 """
 
 
+def _pair_ids(spark, sf):
+    """(i, a_id, b_id): only the ids are ranked, vectors are fetched by id afterwards."""
+    ids = global_row_number(S.vectors(spark, sf).select("vec_id"), [F.col("vec_id")], "rn").select((F.col("rn") - 1).alias("idx"), "vec_id")
+    n = ids.count()
+    p = spark.range(n).select(
+        F.col("id").alias("i"), F.pmod(hash60("id", 1), F.lit(n)).alias("ia"), F.pmod(hash60("id", 2), F.lit(n)).alias("ib")
+    )
+    a = ids.select(F.col("idx").alias("ia"), F.col("vec_id").alias("a_id"))
+    b = ids.select(F.col("idx").alias("ib"), F.col("vec_id").alias("b_id"))
+    return p.join(a, "ia").join(b, "ib").select("i", "a_id", "b_id")
+
+
 def _pairs(spark, sf):
     x = S.vectors(spark, sf)
-    ranked = global_row_number(x, [F.col("vec_id")], "rn").select((F.col("rn") - 1).alias("idx"), "vec_id", "x")
-    n = x.count()
-    i = spark.range(n).select(F.col("id").alias("i"))
-    p = i.select(
-        "i",
-        F.pmod(hash60("i", 1), F.lit(n)).alias("ia"),
-        F.pmod(hash60("i", 2), F.lit(n)).alias("ib"),
-    )
-    a = ranked.select(F.col("idx").alias("ia"), F.col("vec_id").alias("a_id"), F.col("x").alias("xa"))
-    b = ranked.select(F.col("idx").alias("ib"), F.col("vec_id").alias("b_id"), F.col("x").alias("xb"))
-    return p.join(a, "ia").join(b, "ib")
+    a = x.select(F.col("vec_id").alias("a_id"), F.col("x").alias("xa"))
+    b = x.select(F.col("vec_id").alias("b_id"), F.col("x").alias("xb"))
+    return _pair_ids(spark, sf).join(a, "a_id").join(b, "b_id")
 
 
 @register("random_pairs", f"WITH {_PAIRS_SQL} SELECT i, a_id, b_id FROM pv")
 def random_pairs(spark, sf):
     """N pairs of rows picked by hashing the pair number; two equi-joins on dense row ids."""
-    return _pairs(spark, sf).select("i", "a_id", "b_id")
+    return _pair_ids(spark, sf)
 
 
 @register(

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 
 import numpy as np
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,7 +46,13 @@ def missing_marker_to_null(df: DataFrame, column: str, marker: float = -999.9) -
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite") -> None:
-    """Parquet sink replacing old output; partitioned by the given keys (pruned on read)."""
+    """Parquet sink replacing old output; partitioned by the given keys (pruned on read).
+
+    Rows of a key are brought together first, so a key gets few files and not one from each task; the
+    rebalancing splits a hot key over several tasks by its measured size.
+    """
+    if partition_by:
+        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -70,13 +77,13 @@ def save_stat_tables(scalars: DataFrame | None, vectors: DataFrame | None, matri
 
 def load_stat_tables(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     """The stat tables present under ``path`` (a bundle may hold only some of the three)."""
-    import os
-
     out = {}
     for t in ("stat_scalar", "stat_vector", "stat_matrix"):
-        p = f"{path.rstrip('/')}/{t}"
-        if not p.startswith(("file:", "/")) or os.path.exists(p.removeprefix("file:")):
-            out[t] = spark.read.parquet(p)
+        try:
+            out[t] = spark.read.parquet(f"{path.rstrip('/')}/{t}")
+        except AnalysisException as e:  # the same answer from every file system
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
     return out
 
 
@@ -92,10 +99,16 @@ def load_pca_bundle(spark: SparkSession, path: str) -> tuple[DataFrame, DataFram
     return spark.read.parquet(f"{p}/basis"), spark.read.parquet(f"{p}/eigval")
 
 
+#: Entries of a basis that ``basis_matrix`` collects at most.
+MAX_BASIS_ENTRIES = 4_000_000
+
+
 def basis_matrix(basis: DataFrame, k: int | None = None) -> np.ndarray:
-    """Collect a (k x d) basis table (bounded by k x d) into a NumPy matrix for ``decompose``."""
+    """Collect a (k x d) basis table (at most ``MAX_BASIS_ENTRIES`` entries) into a NumPy matrix for ``decompose``."""
     b = basis if k is None else basis.where(F.col("k") < k)
-    rows = b.select("k", "pos", "u").collect()
+    rows = b.select("k", "pos", "u").limit(MAX_BASIS_ENTRIES + 1).collect()
+    if len(rows) > MAX_BASIS_ENTRIES:
+        raise ValueError(f"basis exceeds {MAX_BASIS_ENTRIES} entries")
     kk = max(r["k"] for r in rows) + 1
     d = max(r["pos"] for r in rows) + 1
     U = np.zeros((kk, d))
