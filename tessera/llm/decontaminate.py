@@ -1,8 +1,8 @@
 """Benchmark decontamination (operator 4).
 
 Every window of 13 consecutive benchmark words (a shorter item is one window) is known by hashes of
-its inner n-grams; that hash set is broadcast when its measured size is within
-``MAX_BROADCAST_GRAMS``, and shuffled to the documents' grams otherwise. A document is cut into
+its inner n-grams; that hash set is broadcast with the windows when its measured size is within
+``MAX_BROADCAST_GRAMS``, and shuffled, as hashes only, to the documents' grams otherwise. A document is cut into
 words once and probed at every ``step``-th word only, with grams of ``n + 1 - step`` words: any
 window of n words holds one whole probed gram, wherever it begins (n = 13: grams of 7 words at every
 7th word). Grams whose hash meets the set are then verified: the whole window around them is
@@ -21,10 +21,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .common import alnum_words, table, text_of
 
 WINDOW = 13
-#: Grams broadcast at most (one takes about 200 bytes with its window).
+#: Grams broadcast at most (one takes about 200 bytes with its window), counted once for each item that holds them.
 MAX_BROADCAST_GRAMS = 250_000
 
 
@@ -33,31 +34,28 @@ def probe_step(n: int) -> int:
     return n // 2 + 1
 
 
-def benchmark_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(words, n, items): the distinct windows with the ids of the items that hold them."""
+def item_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
+    """(words, n, item): every window of every item, once."""
     w = items.select(F.col("item_id").cast("string").alias("item"), alnum_words(text_of()).alias("w"))
     w = w.where(F.size("w") > 0).withColumn("n", F.least(F.size("w"), F.lit(window)))
     w = w.select("item", "n", F.explode(F.expr("transform(sequence(0, size(w) - n), i -> slice(w, i + 1, n))")).alias("words"))
-    return w.groupBy("words", "n").agg(F.collect_set("item").alias("items"))
+    return w.select("words", "n", "item").distinct()
 
 
 def window_grams(windows: DataFrame) -> DataFrame:
-    """(hash, len, offset, window_words, items): a window's grams at each offset that a probe can fall on."""
+    """(hash, len, offset, window_words, other columns): a window's grams at each offset that a probe can fall on."""
     step = F.expr("n div 2 + 1")
-    w = windows.select("n", "words", "items", step.alias("step"), F.explode(F.sequence(F.lit(0), step.cast("int") - 1)).alias("offset"))
+    more = [c for c in windows.columns if c not in ("n", "words")]
+    w = windows.select("n", "words", *more, step.alias("step"), F.explode(F.sequence(F.lit(0), step.cast("int") - 1)).alias("offset"))
     gram = F.expr("slice(words, offset + 1, cast(n + 1 - step as int))")
-    return w.select(F.xxhash64(gram).alias("hash"), F.col("n").alias("len"), "offset", F.col("words").alias("window_words"), "items")
+    return w.select(F.xxhash64(gram).alias("hash"), F.col("n").alias("len"), "offset", F.col("words").alias("window_words"), *more)
 
 
 def find_hits(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """(doc_id, text_key, n_words, hits array<struct<start,n>>, items array<string>) for every document."""
-    windows = benchmark_windows(items, window)
-    # one small aggregate: which window lengths occur, and how many grams there are
-    facts = windows.agg(F.collect_set("n").alias("lengths"), F.sum(F.expr("n div 2 + 1")).alias("grams")).first()
-    grams = window_grams(windows)
-    if (facts["grams"] or 0) <= MAX_BROADCAST_GRAMS:
-        grams = F.broadcast(grams)
-
+    pairs = item_windows(items, window)
+    # one small aggregate: which window lengths occur, and how many grams there are, counted once for each item
+    facts = pairs.agg(F.collect_set("n").alias("lengths"), F.sum(F.expr("n div 2 + 1")).alias("grams")).first()
     d = docs.select("doc_id", F.xxhash64(text_of()).alias("text_key"), alnum_words(text_of()).alias("w"))
     probes = []
     for n in sorted(facts["lengths"]):
@@ -67,6 +65,14 @@ def find_hits(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFr
             f"if(size(w) < {n}, array(), transform(sequence(0, greatest(size(w), {g}) - {g}, {step}),"
             f" i -> named_struct('hash', xxhash64(slice(w, i + 1, {g})), 'at', i, 'n', {n})))"
         ))
+    if (facts["grams"] or 0) <= MAX_BROADCAST_GRAMS:
+        return _broadcast_hits(d, probes, pairs)
+    return _shuffled_hits(d, probes, pairs)
+
+
+def _broadcast_hits(d: DataFrame, probes: list[Column], pairs: DataFrame) -> DataFrame:
+    """The windows and their items go to every task, where probes are verified beside the document's words."""
+    windows = pairs.groupBy("words", "n").agg(F.collect_set("item").alias("items"))
     # one more entry for the document itself, so that clean documents stay
     own = F.array(F.struct(F.lit(None).cast("bigint").alias("hash"), F.lit(-1).alias("at"), F.size("w").alias("n")))
     probe = d.select("doc_id", "text_key", "w", F.explode(F.concat(*probes, own)).alias("p"))
@@ -75,7 +81,7 @@ def find_hits(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFr
     whole = (F.col("len") == F.col("n")) & (start >= 0) & (
         F.slice("w", F.greatest(start, F.lit(0)) + 1, F.col("n")) == F.col("window_words")
     )
-    met = probe.join(grams, "hash", "left").where((F.col("at") < 0) | whole)
+    met = probe.join(F.broadcast(window_grams(windows)), "hash", "left").where((F.col("at") < 0) | whole)
     return met.groupBy("doc_id", "text_key").agg(
         F.max(F.when(F.col("at") < 0, F.col("n"))).cast("long").alias("n_words"),
         F.array_sort(F.collect_set(F.when(F.col("at") >= 0, F.struct(start.alias("start"), "n")))).alias("hits"),
@@ -83,6 +89,33 @@ def find_hits(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFr
     )
 
 
+def _shuffled_hits(d: DataFrame, probes: list[Column], pairs: DataFrame) -> DataFrame:
+    """The same for a benchmark of any size. Probes and grams meet as bare hashes; documents with a place where a
+    window may stand are met once more for its words, which are held against the windows' words; items come last,
+    by (document, window). Clean documents never take part in a join, so there is no key for "no hash"."""
+    windows = pairs.select("words", "n").distinct()
+    grams = window_grams(windows).select("hash", F.col("len").alias("n"), "offset").distinct()
+    probe = d.select("doc_id", "text_key", F.size("w").alias("size"), F.explode(F.concat(*probes)).alias("p"))
+    probe = probe.select("doc_id", "text_key", "size", "p.hash", "p.at", "p.n").join(grams, ["hash", "n"])
+    probe = probe.withColumn("start", F.col("at") - F.col("offset")).where((F.col("start") >= 0) & (F.col("start") + F.col("n") <= F.col("size")))
+    places = probe.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("start", "n")).alias("places"))
+    places = places.select(F.col("doc_id").alias("at_id"), F.col("text_key").alias("at_key"), "places")
+    there = d.join(places, F.col("doc_id").eqNullSafe(F.col("at_id")) & (F.col("text_key") == F.col("at_key")))
+    there = there.select("doc_id", "text_key", F.explode(F.expr("transform(places, p -> struct(p.start, p.n, slice(w, p.start + 1, p.n) as words))")).alias("p"))
+    hits = cut_lineage(there.select("doc_id", "text_key", "p.start", "p.n", "p.words").join(windows, ["words", "n"], "left_semi"))
+    found = hits.select("doc_id", "text_key", "words").distinct().join(pairs.select("words", "item"), "words")
+    rows = (
+        d.select("doc_id", "text_key", F.size("w").alias("n_words"))
+        .unionByName(hits.select("doc_id", "text_key", F.struct("start", "n").alias("hit")), allowMissingColumns=True)
+        .unionByName(found.select("doc_id", "text_key", "item"), allowMissingColumns=True)
+    )
+    return rows.groupBy("doc_id", "text_key").agg(
+        F.max("n_words").cast("long").alias("n_words"),
+        F.array_sort(F.collect_set("hit")).alias("hits"),
+        F.array_sort(F.collect_set("item")).alias("items"),
+    )
+
+
 def covered(hits: Column) -> Column:
     """Words inside the union of sorted (start, n) windows."""
     step = lambda acc, h: F.struct(

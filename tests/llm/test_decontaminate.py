@@ -56,6 +56,35 @@ def test_shuffled_grams_give_the_same(spark, corpus, monkeypatch):
     assert result(decontaminate.judge(docs, items)) == want
 
 
+def test_any_size_of_benchmark(spark, rng, odd_docs, odd_texts, no_docs, monkeypatch):
+    monkeypatch.setattr(decontaminate, "MAX_BROADCAST_GRAMS", 0)
+    test_hits_equal_brute_force(spark, rng)
+    test_drop_and_edge_cases(spark, odd_docs, no_docs, odd_texts)
+
+
+def test_whole_texts_are_not_shuffled_by_hash(spark, monkeypatch, capsys):
+    monkeypatch.setattr(decontaminate, "MAX_BROADCAST_GRAMS", 0)
+    monkeypatch.setattr(decontaminate, "cut_lineage", lambda df: df.explain() or df)
+    docs = spark.createDataFrame([(1, "a b c " * 9)], "doc_id int, text string")
+    items = spark.createDataFrame([(1, "b c a b")], "item_id int, text string")
+    decontaminate.find_hits(docs, items)
+    lines = capsys.readouterr().out.split("\n")
+    by_hash = [k for k, x in enumerate(lines) if "Exchange hashpartitioning(hash#" in x]
+    assert by_hash
+    for k in by_hash:  # what is projected below the exchange: keys, size, hash and place
+        below = next(x for x in lines[k + 1 :] if "Project [" in x or "HashAggregate(keys=[" in x)
+        assert " w#" not in below and "text#" not in below.split(" AS ")[0]
+
+
+def test_a_window_of_many_items_counts_for_each(spark, monkeypatch):
+    items = spark.createDataFrame([(k, "x y z") for k in range(300)], "item_id int, text string")
+    docs = spark.createDataFrame([(1, "x y z " * 40), (2, "clean")], "doc_id int, text string")
+    want = brute([(r.doc_id, r.text) for r in docs.collect()], [(r.item_id, r.text) for r in items.collect()])
+    assert result(decontaminate.judge(docs, items)) == want
+    monkeypatch.setattr(decontaminate, "MAX_BROADCAST_GRAMS", 599)  # 300 items, two grams each
+    assert result(decontaminate.judge(docs, items)) == want
+
+
 def test_drop_and_edge_cases(spark, odd_docs, no_docs, odd_texts):
     items = spark.createDataFrame([(1, "same text here"), (2, None), (3, "--")], "item_id int, text string")
     got = result(decontaminate.judge(odd_docs, items))
