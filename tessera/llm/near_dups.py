@@ -26,6 +26,7 @@ an empty table gives an empty result. Hash equality stands for shingle equality:
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,6 +53,8 @@ SIGMAS = 6.0
 #: Ids that may be broadcast to pick texts for verification (8 bytes each); above, a shuffle join.
 MAX_BROADCAST_IDS = 1_000_000
 SIMILAR = (85, 100)
+#: Bytes of text that are hashed together; longer texts are hashed in pieces of that size.
+BATCH_BYTES = 1 << 21
 
 _MASK = (1 << 64) - 1
 
@@ -72,6 +75,7 @@ def _seeded(n: int, seed: int):
     return _mix(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed)) | np.uint64(1)
 
 
+_BLANK = re.compile(rb"[\x20\x09-\x0D]")
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 _POWER = 0xD6E8FEB86659FD93  # odd, so that it has an inverse modulo 2^64
 
@@ -95,6 +99,36 @@ class Shingler:
                 factors[0] = 1
                 setattr(self, name, np.cumprod(factors, dtype=np.uint64))
 
+    def each(self, texts: list[bytes]) -> Iterator:
+        """The set of each text, in turn; memory is bounded by BATCH_BYTES of text and the largest set."""
+        at = 0
+        while at < len(texts):
+            if len(texts[at]) > BATCH_BYTES:
+                yield self.long_set(texts[at])
+                at += 1
+                continue
+            end, size = at, 0
+            while end < len(texts) and end < at + 200 and size + len(texts[end]) <= BATCH_BYTES:
+                size += len(texts[end])
+                end += 1
+            yield from self.sets(texts[at:end])
+            at = end
+
+    def long_set(self, text: bytes):
+        """The set of one text, hashed in pieces that end between words and share ``width`` - 1 words."""
+        import numpy as np
+
+        found, words, at = np.zeros(0, np.uint64), [], 0
+        while at < len(text):
+            blank = _BLANK.search(text, at + BATCH_BYTES)
+            end = blank.start() if blank else len(text)
+            words += text[at:end].split()
+            at = end
+            if len(words) >= self.width:
+                found = np.union1d(found, self.sets([b" ".join(words)])[0])
+                words = words[len(words) - self.width + 1 :]
+        return found if len(found) else self.sets([b" ".join(words)])[0]
+
     def sets(self, texts: list[bytes]) -> list:
         import numpy as np
 
@@ -197,13 +231,12 @@ def sketches(docs: DataFrame, *more: str) -> DataFrame:
         for batch in batches:
             texts = batch.column(1).cast(pa.binary()).to_pylist()
             n, node, bands, regs = [], [], [], []
-            for at in range(0, len(texts), 200):
-                for s in shingler.sets(texts[at : at + 200]):
-                    n.append(len(s))
-                    r = registers(s) if len(s) else None
-                    node.append(digest(s) if len(s) else None)
-                    bands.append(None if r is None else band_keys(r))
-                    regs.append(None if r is None else r.tobytes())
+            for s in shingler.each(texts):
+                n.append(len(s))
+                r = registers(s) if len(s) else None
+                node.append(digest(s) if len(s) else None)
+                bands.append(None if r is None else band_keys(r))
+                regs.append(None if r is None else r.tobytes())
             made = [pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(bands, pa.list_(pa.int64())), pa.array(regs, pa.binary())]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *made, *batch.columns[2:]], names=["doc_id", "n", "node", "bands", "regs", *more]
@@ -246,11 +279,18 @@ def full_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
         for batch in batches:
             texts = batch.column(1).cast(pa.binary()).to_pylist()
             nodes = batch.column(0).to_pylist()
-            for at in range(0, len(texts), 200):
-                rows = [(k, s.tobytes()) for k, s in zip(nodes[at : at + 200], shingler.sets(texts[at : at + 200])) if len(s) and digest(s) == k]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([k for k, _ in rows], pa.int64()), pa.array([s for _, s in rows], pa.binary())], names=["node", "set"]
-                )
+            made = lambda rows: pa.RecordBatch.from_arrays(
+                [pa.array([k for k, _ in rows], pa.int64()), pa.array([s for _, s in rows], pa.binary())], names=["node", "set"]
+            )
+            rows, size = [], 0
+            for k, s in zip(nodes, shingler.each(texts)):
+                if len(s) and digest(s) == k:
+                    rows.append((k, s.tobytes()))
+                    size += s.nbytes
+                if size > BATCH_BYTES:
+                    yield made(rows)
+                    rows, size = [], 0
+            yield made(rows)
 
     small = ids.count() <= MAX_BROADCAST_IDS
     pick = F.broadcast(ids) if small else ids

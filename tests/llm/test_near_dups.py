@@ -85,6 +85,16 @@ def test_shingle_hashes_are_distinct_where_shingles_are(corpus):
     assert [len(s) for s in got] == [len(shingles(t)) for t in texts]
 
 
+def test_long_texts_are_hashed_in_pieces(monkeypatch, rng):
+    texts = [" \n".join(f"W{rng.randint(0, 30)}" for _ in range(n)) for n in (0, 1, 3, 4, 5, 6, 40, 700)]
+    texts += ["x" * 500, "  " + "y" * 300 + " \t z  ", " " * 400, "a b " + "q" * 200 + " c d e f"]
+    whole = near_dups.Shingler().sets([t.encode() for t in texts])
+    for size in (1, 7, 64, 1000):
+        monkeypatch.setattr(near_dups, "BATCH_BYTES", size)
+        pieces = list(near_dups.Shingler().each([t.encode() for t in texts]))
+        assert [p.tolist() for p in pieces] == [w.tolist() for w in whole]
+
+
 def test_edge_cases(odd_docs, no_docs, odd_texts):
     rows = near_dups.near_duplicates(odd_docs).collect()
     want = brute(enumerate(odd_texts))
