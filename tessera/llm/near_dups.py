@@ -55,6 +55,8 @@ MAX_BROADCAST_IDS = 1_000_000
 SIMILAR = (85, 100)
 #: Bytes of text that are hashed together; longer texts are hashed in pieces of that size.
 BATCH_BYTES = 1 << 21
+#: Nodes of a bucket that meet the bucket's own row in one part.
+PART = 256
 
 _MASK = (1 << 64) - 1
 
@@ -326,24 +328,33 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: tuple[int, int] = SIM
     return both.mapInArrow(run, "a bigint, b bigint")
 
 
+def with_bucket(members: DataFrame, per_key: DataFrame) -> DataFrame:
+    """Bucket members (key, size, node, ...) joined with the row of their bucket in ``per_key`` (key, size, ...). A
+    bucket of more than PART nodes is dealt over parts, each with a copy of that row, so that a hot key doesn't fill a task."""
+    parts = F.ceil(F.col("size") / PART).cast("int")
+    left = members.withColumn("part", F.pmod(F.xxhash64("node"), parts).cast("int")).drop("size")
+    right = per_key.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
+    return left.join(right, ["key", "part"]).drop("part")
+
+
 def leader_pairs(buckets: DataFrame, round_no: int) -> DataFrame:
-    """Pairs of bucket members with leaders of other components; ``buckets``: (key, node, first, comp).
+    """Pairs of bucket members with leaders of other components; ``buckets``: (key, size, node, first, comp).
 
     Round 0: a node meets, of all its buckets' earliest documents, the earliest (copies mostly are
     copies of it), and one node drawn by hash. Later rounds: nodes outside a bucket's largest
     component meet a drawn member of that component and a drawn member of the bucket.
     """
     draw = F.xxhash64("node", "key", F.lit(round_no))
-    by_comp = buckets.groupBy("key", "comp").agg(
+    by_comp = buckets.groupBy("key", "size", "comp").agg(
         F.count(F.lit(1)).alias("c"), F.min(F.struct("first", "node")).alias("early"), F.min(F.struct(draw.alias("d"), F.col("node"))).alias("drawn")
     )
-    lead = by_comp.groupBy("key").agg(
+    lead = by_comp.groupBy("key", "size").agg(
         F.count(F.lit(1)).alias("comps"),
         F.min("early").alias("early"),
         F.min_by(F.struct("comp", F.col("drawn.node").alias("node")), F.struct(-F.col("c"), "drawn")).alias("main"),
         F.min_by(F.struct("comp", F.col("drawn.node").alias("node")), "drawn").alias("any"),
     )
-    met = buckets.join(lead.where("comps > 1"), "key")
+    met = with_bucket(buckets, lead.where("comps > 1"))
     if round_no == 0:
         each = met.groupBy("node").agg(F.min("early").getField("node").alias("x"), F.min_by("any.node", F.xxhash64("any.node")).alias("y"))
         pairs = each.select("node", F.explode(F.array("x", "y")).alias("lead")).where("node <> lead")
@@ -375,10 +386,10 @@ def rest_links(buckets: DataFrame, sigs: DataFrame, sets_of: Callable[[DataFrame
     bucket's largest component meet all nodes of other components, block by block; a pair is looked at
     in its first common band only. A block verifies in itself, the likeliest pairs of a node first, and
     gives one link for each node and component it reaches, so pairs never become rows."""
-    buckets = buckets.select("key", "node", "comp")
-    by_comp = buckets.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"))
-    main = by_comp.groupBy("key").agg(F.count(F.lit(1)).alias("comps"), F.sum("c").alias("size"), F.max("c").alias("most"), F.max_by("comp", F.struct("c", "comp")).alias("main"))
-    met = buckets.join(main.where("comps > 1"), "key")
+    buckets = buckets.select("key", "size", "node", "comp")
+    by_comp = buckets.groupBy("key", "size", "comp").agg(F.count(F.lit(1)).alias("c"))
+    main = by_comp.groupBy("key", "size").agg(F.count(F.lit(1)).alias("comps"), F.max("c").alias("most"), F.max_by("comp", F.struct("c", "comp")).alias("main"))
+    met = with_bucket(buckets, main.where("comps > 1"))
     blocks_in = F.ceil(F.col("size") / BLOCK)
     blocks_out = F.ceil((F.col("size") - F.col("most")) / BLOCK)
     spot = lambda n, salt: F.pmod(F.xxhash64("node", F.lit(salt)), n).cast("int")
