@@ -45,16 +45,18 @@ def fourier_rows(d: int, harmonics: int = 4) -> np.ndarray:
 
 def fourier_basis(spark: SparkSession, d: int, harmonics: int = 4) -> DataFrame:
     """Basis table (k int, pos int, u double) built on the executors from ``range``."""
-    pos = F.col("id").cast("int")
-    x = F.lit(2 * math.pi) * pos / F.lit(float(d))
+    return fourier_at(spark.range(d).select(F.col("id").cast("int").alias("pos")), d, harmonics)
+
+
+def fourier_at(positions: DataFrame, d: int, harmonics: int = 4) -> DataFrame:
+    """The entries (k, pos, u) of the d-point basis at the rows of ``positions`` (column pos)."""
+    x = F.lit(2 * math.pi) * F.col("pos") / F.lit(float(d))
     c = F.lit(math.sqrt(2.0 / d))
     cols = [F.struct(F.lit(0).alias("k"), F.lit(math.sqrt(1.0 / d)).alias("u"))]
     for h in range(1, harmonics + 1):
         cols.append(F.struct(F.lit(2 * h - 1).alias("k"), (F.sin(F.lit(float(h)) * x) * c).alias("u")))
         cols.append(F.struct(F.lit(2 * h).alias("k"), (F.cos(F.lit(float(h)) * x) * c).alias("u")))
-    return spark.range(d).select(pos.alias("pos"), F.explode(F.array(*cols)).alias("e")).select(
-        F.col("e.k").alias("k"), "pos", F.col("e.u").alias("u")
-    )
+    return positions.select("pos", F.explode(F.array(*cols)).alias("e")).select(F.col("e.k").alias("k"), "pos", F.col("e.u").alias("u"))
 
 
 def basis_gram(basis: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -64,6 +66,18 @@ def basis_gram(basis: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return a.join(b, list(by) + ["pos"]).groupBy(*by, "k", "l").agg(F.sum(F.col("_a") * F.col("_b")).alias("g"))
 
 
+def defined_gram(cells: DataFrame, basis: DataFrame, by: Sequence[str], value: str = "v") -> DataFrame:
+    """(by..., k, l, g): Gram matrix of a long basis over the defined cells (by..., pos, value) of each group.
+
+    A group whose cells are all there n times has g = n on the diagonal and 0 beside it; holes show as
+    departures from that. Cells are counted by (group, pos) before they meet the d x k basis, so a hot
+    group gives d rows. Groups without a defined cell give no row; repeated cells count as often as they occur.
+    """
+    counts = cells.where(F.col(value).isNotNull()).groupBy(*by, "pos").agg(F.count(F.lit(1)).alias("_n"))
+    pairs = basis.select("pos", "k", F.col("u").alias("_a")).join(basis.select("pos", F.col("k").alias("l"), F.col("u").alias("_b")), "pos")
+    return counts.join(pairs, "pos").groupBy(*by, "k", "l").agg(F.sum(F.col("_n") * F.col("_a") * F.col("_b")).alias("g"))
+
+
 def pca(cov: DataFrame, by: Sequence[str] = (), value: str = "cov", undefined: float | None = None) -> DataFrame:
     """Eigenpairs of each group's covariance: (by..., k, eigval, pos, u), k = 0 is the largest.
 

@@ -138,9 +138,9 @@ _POS_SQL = "P AS (SELECT DISTINCT pos FROM cell), D AS (SELECT pos, count(*) OVE
 
 
 def _observed_basis(spark, sf):
-    cells = S.nation_year_cells(spark, sf)
-    d = cells.select("pos").distinct().count()  # one scalar
-    return decomp.fourier_basis(spark, d), d
+    """The basis at the months that occur, from the table of those; d is their number."""
+    months = cut_lineage(S.nation_year_cells(spark, sf).select("pos").distinct())
+    return decomp.fourier_at(months, months.count())
 
 
 @register(
@@ -152,8 +152,7 @@ SELECT CAST(k AS INTEGER) AS k, CAST(pos AS INTEGER) AS pos, {rnd_sql('u', 9)} A
 )
 def fourier_basis(spark, sf):
     """9-vector orthonormal basis on the positions observed in the nation-year cells."""
-    b, _ = _observed_basis(spark, sf)
-    return b.select("k", "pos", rnd("u", 9).alias("u"))
+    return _observed_basis(spark, sf).select("k", "pos", rnd("u", 9).alias("u"))
 
 
 @register(
@@ -165,8 +164,25 @@ FROM basis a JOIN basis b ON a.pos = b.pos GROUP BY a.k, b.k
 """,
 )
 def basis_gram(spark, sf):
-    b, _ = _observed_basis(spark, sf)
-    return decomp.basis_gram(b).select("k", "l", rnd("g", 9).alias("g"))
+    return decomp.basis_gram(_observed_basis(spark, sf)).select("k", "l", rnd("g", 9).alias("g"))
+
+
+_BASIS12 = _fourier_sql("basis0", "(SELECT CAST(range AS INTEGER) AS pos, 12 AS d FROM range(12))", "d")
+
+
+@register(
+    "basis_gram_by_station",
+    f"""
+WITH {SERIES}, {_BASIS12}
+SELECT s.station, CAST(a.k AS INTEGER) AS k, CAST(b.k AS INTEGER) AS l, {rnd_sql('sum(a.u * b.u)', 8)} AS g
+FROM series s JOIN basis0 a ON a.pos = s.pos JOIN basis0 b ON b.pos = s.pos WHERE s.v IS NOT NULL GROUP BY s.station, a.k, b.k
+""",
+)
+def basis_gram_by_station(spark, sf):
+    """M6 on the data: the basis' Gram matrix over the defined cells of each station's series."""
+    basis = decomp.fourier_basis(spark, S.NATION_YEAR_D)
+    g = decomp.defined_gram(S.nation_year_cells(spark, sf), basis, ["station"])
+    return g.select("station", "k", "l", rnd("g", 8).alias("g"))
 
 
 # ---------------------------------------------------------------- decomposition (M7, M8, M9)
@@ -337,17 +353,39 @@ def denoise(spark, sf):
     return w.select("user_id", "event_type", F.posexplode("w").alias("pos", "w")).withColumn("w", rnd("w", 6))
 
 
-@register("decompose_pca")
-def decompose_pca(spark, sf):
-    """M7 on the top-3 eigenvectors of the data covariance (basis: 3 x 12, a bounded collect)."""
-    series = S.nation_year_series(spark, sf)
-    eig = decomp.pca(gram.covariance(series)).where(F.col("k") < 3).select("k", "pos", "u").collect()
-    U = np.zeros((3, S.NATION_YEAR_D))
-    for r in eig:
+def _on_components(spark, sf, count: int):
+    """M7 on the first eigenvectors of the data covariance (count x 12 numbers, a bounded collect)."""
+    series = cut_lineage(S.nation_year_series(spark, sf))
+    eig = decomp.pca(gram.covariance(series)).where(F.col("k") < count)
+    U = np.zeros((count, S.NATION_YEAR_D))
+    for r in eig.select("k", "pos", "u").collect():
         U[r["k"], r["pos"]] = r["u"]
     return decomp.decompose(series, U, _series_mean(series), keep=["station", "yr"])
 
 
+@register("decompose_pca")
+def decompose_pca(spark, sf):
+    """M7 on the top-3 eigenvectors of the data covariance; ``decompose_pca_energy`` checks all twelve."""
+    return _on_components(spark, sf, 3)
+
+
+@register(
+    "decompose_pca_energy",
+    f"""
+WITH {SERIES},
+mu AS (SELECT pos, avg(v) AS m FROM series GROUP BY pos)
+SELECT station, yr, {rnd_sql('sum(CASE WHEN v IS NULL THEN 0e0 ELSE (v - m) * (v - m) END) / sum(coalesce(v * v, 0e0))', 9)} AS energy, 0e0 AS residual
+FROM series s JOIN mu ON mu.pos = s.pos GROUP BY station, yr
+""",
+)
+def decompose_pca_energy(spark, sf):
+    """M7 on all eigenvectors: the coefficients' squares add up to the centred series' (as a share of its total), and
+    nothing is left after the last component."""
+    d = _on_components(spark, sf, S.NATION_YEAR_D)
+    squares = sum((F.col(f"coeff_{k}") * F.col(f"coeff_{k}") for k in range(1, S.NATION_YEAR_D + 1)), F.lit(0.0))
+    return d.select("station", "yr", rnd(squares / F.col("total_var"), 9).alias("energy"), rnd(F.abs(f"res_{S.NATION_YEAR_D}"), 9).alias("residual"))
+
+
 @register(
     "mean_std_band",
     f"""

@@ -206,3 +206,21 @@ def test_hungarian_matches_brute_force():
             best = max(sum(M[i, p[i]] for i in range(k)) for p in itertools.permutations(range(k)))
             assert got == best
         assert sorted(j for _, j in hungarian_max(M)) == list(range(k))
+
+
+def test_basis_over_defined_cells(spark):
+    U = decomp.fourier_rows(12)
+    months = [2, 3, 5, 11]
+    at = {(r.k, r.pos): r.u for r in decomp.fourier_at(spark.createDataFrame([(m,) for m in months], "pos int"), 12).collect()}
+    assert set(at) == {(k, m) for k in range(9) for m in months}
+    assert all(abs(u - U[k, m]) < 1e-12 for (k, m), u in at.items())
+
+    # "a" has all months twice, "b" a few once and a hole, "c" holes only
+    cells = [("a", m, 1.0) for m in range(12)] * 2 + [("b", m, 2.0) for m in months] + [("b", 0, None), ("c", 1, None)]
+    cells = spark.createDataFrame(cells, "station string, pos int, v double")
+    got = {(r.station, r.k, r.l): r.g for r in decomp.defined_gram(cells, decomp.fourier_basis(spark, 12), ["station"]).collect()}
+    assert {s for s, _, _ in got} == {"a", "b"} and len(got) == 2 * 81
+    for k in range(9):
+        for l in range(9):
+            assert abs(got["a", k, l] - 2 * (k == l)) < 1e-12
+            assert abs(got["b", k, l] - sum(U[k, m] * U[l, m] for m in months)) < 1e-12
